@@ -69,42 +69,35 @@ def row_halo(
         .withColumn("_rn", F.row_number().over(part.orderBy(*order)))
         .withColumn("_n", F.count(F.lit(1)).over(part))
     )
-    edges = ranked.filter((F.col("_rn") <= max(ahead, 1)) | (F.col("_rn") > F.col("_n") - back))
-
-    # One row per chunk: how many rows lie before its start and before its end.
+    # The few first and last rows of each chunk, as one row per chunk.
+    row = F.struct(*[F.col(c) for c in columns], F.lit(False).alias(OWN))
+    edges = (
+        ranked.filter((F.col("_rn") <= max(ahead, 1)) | (F.col("_rn") > F.col("_n") - back))
+        .groupBy(*keys, CHUNK)
+        .agg(F.first("_n").alias("_n"), F.collect_list(F.struct("_rn", row.alias("row"))).alias("_edge"))
+    )
+    # Rows of the series before the start and before the end of a chunk, and the chunks in reach.
     along = Window.partitionBy(*keys).orderBy(CHUNK)
-    sizes = (
-        edges.filter("_rn = 1")
-        .select(*keys, CHUNK, "_n")
-        .withColumn("_end", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    chunks = (
+        edges.withColumn("_end", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_start", F.col("_end") - F.col("_n"))
-        .withColumn(
-            "_next",
-            F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_start").alias("at"))).over(
-                along.rowsBetween(1, max(back, 1))
-            ),
+        .withColumns(
+            {
+                "_next": F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_start").alias("at"))).over(
+                    along.rowsBetween(1, max(back, 1))
+                ),
+                "_prev": F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_end").alias("at"))).over(
+                    along.rowsBetween(-max(ahead, 1), -1)
+                ),
+            }
         )
-        .withColumn(
-            "_prev",
-            F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_end").alias("at"))).over(
-                along.rowsBetween(-max(ahead, 1), -1)
-            ),
-        )
-        .drop("_n")
-    )
-    row = F.struct(*[F.col(c) for c in columns], F.lit(False).alias(OWN))
-    after = F.filter(
-        F.col("_next"), lambda t: (t["at"] - F.col("_start") - F.col("_rn")) < F.lit(back)
-    )
-    before = F.filter(
-        F.col("_prev"), lambda t: (F.col("_start") + F.col("_rn") - 1 - t["at"]) < F.lit(ahead)
+        .select(*keys, "_start", "_next", "_prev", F.inline("_edge"))
     )
+    after = F.filter("_next", lambda t: (t["at"] - F.col("_start") - F.col("_rn")) < F.lit(back))
+    before = F.filter("_prev", lambda t: (F.col("_start") + F.col("_rn") - 1 - t["at"]) < F.lit(ahead))
     copies = (
-        edges.join(sizes, [*keys, CHUNK])
-        .select(
-            *keys,
-            F.explode(F.transform(F.concat(after, before), lambda t: t["c"])).alias(CHUNK),
-            row.alias("_row"),
+        chunks.select(
+            *keys, F.explode(F.transform(F.concat(after, before), lambda t: t["c"])).alias(CHUNK), F.col("row").alias("_row")
         )
         .groupBy(*keys, CHUNK)
         .agg(F.collect_list("_row").alias("_copies"))  # back + ahead rows at most

@@ -12,7 +12,7 @@ from frostline.operators.dedup import keep_first
 from frostline.operators.gaps import fill_gaps_site
 from frostline.operators.masks import any_measured, mask_codes, mask_visits_and_range
 from frostline.operators.quality import temporal_resolution
-from frostline.session import LOCAL_ZONE, cut_lineage
+from frostline.session import LOCAL_ZONE, cut_lineage, stage
 
 SERIES_SENSORS = ("T1", "T2", "T3", "Soil_moisture")
 KEYS = ("Site_id", "Raw_data_identifier")
@@ -57,7 +57,7 @@ def export_clean(raw: DataFrame, visits: DataFrame, area: str = "MAT", chunk: Co
     df = mask_visits_and_range(raw, visits, export_limits(area), chunk=chunk)
     df = any_measured(mask_codes(df, export_codes(area)))
     df = keep_first(df, ["site", "datetime"], [F.col("tomst_id"), *[F.col(s) for s in SENSORS]])
-    return fill_gaps_site(df, chunk=chunk).select(
+    return fill_gaps_site(stage(df), chunk=chunk).select(
         F.col("site").alias("Site_id"),
         F.col("tomst_id").alias("Raw_data_identifier"),
         "datetime",

@@ -13,7 +13,7 @@ from frostline.functions.stats import STAT_NAMES, bundle_aggregates, bundle_colu
 from frostline.operators import periods
 from frostline.operators.rolling import full_mean
 from frostline.operators.thermal import season_bounds
-from frostline.session import cut_lineage
+from frostline.session import stage
 
 TYPES = ("moist", "moistsat")
 VALUES = ("T1", "T3", "moist")
@@ -21,6 +21,8 @@ FLAGS = ("moist",)
 LONG = ("site", "var", "period", "year", "imputed_percentage", "moist_type", "value")
 ICE_FREE = "ice_free_season"
 GROWING = "growing_season"
+FIRST14 = "first_two_weeks_of_GS"
+FIRST28 = "first_four_weeks_of_GS"
 ROLL_DAYS = 13
 
 
@@ -54,38 +56,48 @@ def complete_years(daily: DataFrame) -> DataFrame:
     return sums.filter("ok").select("site", "year")
 
 
-def bundle(days: DataFrame, keys: list[str]) -> DataFrame:
-    """The 13 statistics of both moisture types per group of days; groups with a null are dropped."""
-    aggs = [a for t in TYPES for a in bundle_aggregates(t)]
-    stats = days.groupBy(*keys).agg(*aggs, round2(F.avg("moist_imp") * 100).alias("imputed_percentage"))
-    columns = {t: bundle_columns(t) for t in TYPES}
-    return stats.select(
-        *keys, "imputed_percentage", *[columns[t][s].alias(f"{t}_{s}") for t in TYPES for s in STAT_NAMES]
-    ).dropna(how="any")
+def labelled(days: DataFrame, period: str | Column) -> DataFrame:
+    """Days with the label of the period they count for."""
+    period = F.lit(period) if isinstance(period, str) else period
+    return days.select("site", "year", period.alias("period"), *TYPES, "moist_imp")
 
 
-def _bundle_rows(wide: DataFrame, period: Column) -> DataFrame:
+def bundle(days: DataFrame) -> DataFrame:
+    """The 13 statistics of both moisture types per site, year and period label.
+
+    A period with any undefined statistic is dropped as a whole.
+    """
+    aggs = [a for t in TYPES for a in bundle_aggregates(t)]
+    stats = days.groupBy("site", "year", "period").agg(
+        *aggs, round2(F.avg("moist_imp") * 100).alias("imputed_percentage")
+    )
+    columns = {t: bundle_columns(t) for t in TYPES}
     cells = F.array(
         *[
-            F.struct(F.lit(t).alias("moist_type"), F.lit(s).alias("var"), F.col(f"{t}_{s}").alias("value"))
+            F.struct(F.lit(t).alias("moist_type"), F.lit(s).alias("var"), columns[t][s].alias("value"))
             for t in TYPES
             for s in STAT_NAMES
         ]
     )
-    return wide.select("site", "year", period.alias("period"), "imputed_percentage", F.inline(cells)).select(*LONG)
+    whole = F.col("imputed_percentage").isNotNull() & F.forall("cells", lambda c: c["value"].isNotNull())
+    return (
+        stats.select("site", "year", "period", "imputed_percentage", cells.alias("cells"))
+        .filter(whole)
+        .select("site", "year", "period", "imputed_percentage", F.inline("cells"))
+        .select(*LONG)
+    )
 
 
-def monthly(daily: DataFrame) -> DataFrame:
-    """Months with less than half of their days missing."""
+def monthly_days(daily: DataFrame) -> DataFrame:
+    """Days of months with less than half of their days missing."""
     share = F.avg(F.col("moist").isNull().cast("double"))
     kept = daily.groupBy("site", "year", "month").agg(share.alias("p")).filter("p < 0.5")
     days = daily.join(kept.select("site", "year", "month"), ["site", "year", "month"], "left_semi")
-    return _bundle_rows(bundle(days, ["site", "year", "month"]), month_label(F.col("month")))
+    return labelled(days, month_label(F.col("month")))
 
 
-def ice_free(daily: DataFrame, years: DataFrame) -> DataFrame:
-    days = daily.join(years, ["site", "year"], "left_semi")
-    return _bundle_rows(bundle(days, ["site", "year"]), F.lit(ICE_FREE))
+def ice_free_days(daily: DataFrame, years: DataFrame) -> DataFrame:
+    return labelled(daily.join(years, ["site", "year"], "left_semi"), ICE_FREE)
 
 
 def growing_bounds(daily: DataFrame, years: DataFrame) -> DataFrame:
@@ -104,10 +116,6 @@ def rows_in_season(daily: DataFrame, bounds: DataFrame, until_end: bool = True)
     return rows.filter(inside)
 
 
-def growing(season: DataFrame) -> DataFrame:
-    return _bundle_rows(bundle(season, ["site", "year"]), F.lit(GROWING))
-
-
 def rolled(days: DataFrame) -> DataFrame:
     """13-day means over the days that have data, whole frames only."""
     w = Window.partitionBy("site", "year").orderBy("doy")
@@ -150,10 +158,6 @@ def first_days(from_start: DataFrame, k: int) -> DataFrame:
     return from_start.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= k).drop("_k")
 
 
-def first_weeks(from_start: DataFrame, k: int, period: str) -> DataFrame:
-    return _bundle_rows(bundle(first_days(from_start, k), ["site", "year"]), F.lit(period))
-
-
 # Labels of the quarters of the growing season.
 QUARTERS = (
     "1st_quartile_growing_season",
@@ -169,9 +173,9 @@ def with_quarters(season: DataFrame) -> DataFrame:
     return days.withColumn("quarter", F.ntile(4).over(Window.partitionBy("site", "year").orderBy("doy")))
 
 
-def quarters(season: DataFrame) -> DataFrame:
+def quarter_days(season: DataFrame) -> DataFrame:
     label = F.element_at(F.array(*[F.lit(q) for q in QUARTERS]), F.col("quarter"))
-    return _bundle_rows(bundle(with_quarters(season), ["site", "year", "quarter"]), label)
+    return labelled(with_quarters(season), label)
 
 
 def trend(days: DataFrame, value: str, period: str = ICE_FREE) -> DataFrame:
@@ -198,24 +202,27 @@ def trend(days: DataFrame, value: str, period: str = ICE_FREE) -> DataFrame:
 def moisture_indices(df: DataFrame, fix_labels: bool = False) -> DataFrame:
     """All moisture indices, long; ``df`` holds calibrated moisture.
 
-    The daily table is written once to the shared checkpoint folder.
+    The statistics of all periods come from one aggregate over labelled days.
     """
-    daily = cut_lineage(daily_table(df))
+    daily = stage(daily_table(df))
     years = complete_years(daily)
-    bounds = cut_lineage(growing_bounds(daily, years))
-    whole = daily.join(years, ["site", "year"], "left_semi")
+    bounds = stage(growing_bounds(daily, years))
+    whole = stage(daily.join(years, ["site", "year"], "left_semi"))
     from_start = rows_in_season(daily, bounds, until_end=False)
-    season = rows_in_season(daily, bounds)
+    season = stage(rows_in_season(daily, bounds))
+    days = [
+        monthly_days(daily),
+        labelled(whole, ICE_FREE),
+        labelled(season, GROWING),
+        labelled(first_days(from_start, 14), FIRST14),
+        labelled(first_days(from_start, 28), FIRST28),
+        quarter_days(season),
+    ]
     parts = [
-        monthly(daily),
-        ice_free(daily, years),
-        growing(season),
+        bundle(reduce(DataFrame.unionByName, days)),
         extreme_weeks(whole, ICE_FREE, fix_labels),
         extreme_weeks(season, GROWING, fix_labels),
-        first_weeks(from_start, 14, "first_two_weeks_of_GS"),
-        first_weeks(from_start, 28, "first_four_weeks_of_GS"),
-        quarters(season),
         trend(whole, "moist"),
         trend(season, "moistsat", GROWING if fix_labels else ICE_FREE),
     ]
-    return reduce(DataFrame.unionByName, parts).dropna(how="any")
+    return reduce(DataFrame.unionByName, parts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from frostline.config import SENSORS
 from frostline.functions.scalars import add_minutes, minutes_between
 from frostline.operators.chunks import carry, row_halo
+from frostline.session import stage
 
 STEP = 15
 
@@ -64,7 +65,8 @@ def regularise(
     A grid stamp between two readings is interpolated when it is the only one there and both
     readings are present; a null reading likewise when no grid stamp separates it from its
     neighbours. Off-grid readings are dropped afterwards and ``fill`` is taken from the last row
-    on the grid. Other sites pass through unchanged.
+    on the grid. Other sites pass through unchanged. Readings with their neighbours are staged once,
+    as three branches need them.
     """
     columns = df.columns
     sensors = [s for s in sensors if s in columns]
@@ -80,7 +82,7 @@ def regularise(
             **{f"_n_{s}": F.lead(s).over(w) for s in sensors},
         }
     )
-    near = halo.own(near)
+    near = stage(halo.own(near))
     step = minutes_between(F.col(time), F.col("_prev"))
     plan = near.groupBy(site).agg(
         F.min(time).alias("_t0"),

@@ -14,7 +14,7 @@ from frostline.operators.rolling import full_mean
 from frostline.operators.rolling import strict_max as roll_max
 from frostline.operators.rolling import strict_min as roll_min
 from frostline.operators.runs import with_runs
-from frostline.session import cut_lineage
+from frostline.session import stage
 
 LONG = ("site", "year", "var", "value", "T2_imp")
 CORE_DAYS = 9
@@ -126,6 +126,6 @@ def snow_periods(days: DataFrame, on_off: DataFrame) -> DataFrame:
 
 def snow_indices(df: DataFrame) -> DataFrame:
     """All snow indices of imputed T2 series, long."""
-    days = cut_lineage(snow_year(snow_days(daily_minmax(df))))
+    days = stage(snow_year(snow_days(daily_minmax(df))))
     on_off = snow_on_off(days)
     return reduce(DataFrame.unionByName, [on_off, snow_periods(days, on_off)])

@@ -15,7 +15,7 @@ from frostline.functions.scalars import month_label, round2
 from frostline.operators import periods
 from frostline.operators.reshape import INDEX_COLUMNS, unpivot_sensors
 from frostline.operators.runs import with_runs
-from frostline.session import cut_lineage
+from frostline.session import stage
 
 SEASON = "growing_season"
 IMPS = tuple(f"{t}_imp" for t in TEMPERATURES)
@@ -371,18 +371,18 @@ def freeze_thaw(daily: DataFrame, sensor: str, amplitude: float = 0.5) -> DataFr
 def temperature_indices(df: DataFrame, quant_max: float = 0.999, quant_min: float = 0.001) -> DataFrame:
     """All temperature indices of imputed series, long.
 
-    The hourly partials are written once to the shared checkpoint folder: a quarter of the readings
+    The hourly partials are staged once: a quarter of the readings
     or less, and some twenty aggregates read them.
     """
-    partials = cut_lineage(periods.hourly_partials(df, TEMPERATURES, TEMPERATURES))
-    daily = cut_lineage(
+    partials = stage(periods.hourly_partials(df, TEMPERATURES, TEMPERATURES))
+    daily = stage(
         periods.padded_daily(
             periods.daily_from_hourly(partials, TEMPERATURES, TEMPERATURES), TEMPERATURES, TEMPERATURES
         )
     )
     hourly = periods.padded_hourly(partials, daily, TEMPERATURES, TEMPERATURES)
     years = complete_years(daily)
-    extremes = cut_lineage(month_extremes(df, daily, quant_min, quant_max))
+    extremes = stage(month_extremes(df, daily, quant_min, quant_max))
     annual = annual_extremes(extremes)
     wide = reduce(
         DataFrame.unionByName,

@@ -19,6 +19,7 @@ from frostline.operators.quality import drop_stray_minutes, plausible_dates
 from frostline.operators.registry import assign_site, assign_site_from_map
 from frostline.operators.resample import regularise
 from frostline.operators.thermal import temperature_indices
+from frostline.session import stage
 
 
 def raw_table(
@@ -37,13 +38,13 @@ def raw_table(
     df = keep_first(readings, ["tomst_id", "datetime"], [F.col(c) for c in (*SENSORS, "zone")])
     df = assign_site(df, registry) if area.site_source == "registry" else assign_site_from_map(df, registry)
     df = plausible_dates(df.filter("site is not null"), area.first_day, area.last_day)
-    df = fill_gaps_logger(label_errors(df, ledger), chunk=chunk)
+    df = stage(fill_gaps_logger(stage(label_errors(df, ledger)), chunk=chunk))
     df = drop_stray_minutes(drop_not_in_field(df)).drop("zone").withColumnRenamed("probl", "error_tomst")
     if archive is not None:
         df = merge_archive(archive, df).drop("datanew")
     else:
         df = keep_first(df, ["site", "datetime"], [F.col("tomst_id"), *[F.col(s) for s in SENSORS]])
-    return fill_gaps_site(df, chunk=chunk)
+    return fill_gaps_site(stage(df), chunk=chunk)
 
 
 def clean_series(
@@ -57,14 +58,18 @@ def clean_series(
     fill: bool = True,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Raw to cleaned: bias, visits, range, codes, 15-minute grid, peaks, gap fill."""
+    """Raw to cleaned: bias, visits, range, codes, 15-minute grid, peaks, gap fill.
+
+    Each step looks at neighbouring rows of the step before, so the steps are staged as tables: the
+    plan stays small and no step runs twice.
+    """
     limits = {s: limits[s] for s in sensors}
     codes = {s: codes[s] for s in sensors}
     df = apply_bias(raw, bias)
-    df = mask_visits_and_range(df, visits, limits, sensors, chunk=chunk)
-    df = regularise(mask_codes(df, codes), sensors=sensors, chunk=chunk)
+    df = stage(mask_codes(mask_visits_and_range(df, visits, limits, sensors, chunk=chunk), codes))
+    df = stage(regularise(df, sensors=sensors, chunk=chunk))
     df = mask_peaks(flag_peaks(df, rules, sensors, chunk=chunk), sensors)
-    return fill_gaps_site(df, chunk=chunk) if fill else df
+    return fill_gaps_site(stage(df), chunk=chunk) if fill else df
 
 
 def clean_t2_for_snow(

@@ -449,7 +449,7 @@ def run_ids(spark, d):
 
 @query
 def season_quartiles(spark, d):
-    return moisture.quarters(_season(spark, d))
+    return moisture.bundle(moisture.quarter_days(_season(spark, d)))
 
 
 @query
@@ -788,13 +788,13 @@ def complete_years(spark, d):
 
 @query
 def moist_monthly(spark, d):
-    return moisture.monthly(_moist_tables(spark, d)[0])
+    return moisture.bundle(moisture.monthly_days(_moist_tables(spark, d)[0]))
 
 
 @query
 def moist_ice_free(spark, d):
     daily, years, _ = _moist_tables(spark, d)
-    return moisture.ice_free(daily, years)
+    return moisture.bundle(moisture.ice_free_days(daily, years))
 
 
 @query
@@ -804,7 +804,7 @@ def season_bounds(spark, d):
 
 @query
 def moist_growing(spark, d):
-    return moisture.growing(_season(spark, d))
+    return moisture.bundle(moisture.labelled(_season(spark, d), moisture.GROWING))
 
 
 @query
@@ -819,12 +819,14 @@ def moist_extreme_weeks_gs(spark, d):
 
 @query
 def moist_first14(spark, d):
-    return moisture.first_weeks(_season(spark, d, until_end=False), 14, "first_two_weeks_of_GS")
+    days = moisture.first_days(_season(spark, d, until_end=False), 14)
+    return moisture.bundle(moisture.labelled(days, moisture.FIRST14))
 
 
 @query
 def moist_first28(spark, d):
-    return moisture.first_weeks(_season(spark, d, until_end=False), 28, "first_four_weeks_of_GS")
+    days = moisture.first_days(_season(spark, d, until_end=False), 28)
+    return moisture.bundle(moisture.labelled(days, moisture.FIRST28))
 
 
 @query

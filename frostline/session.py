@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,3 +42,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as parquet in the shared checkpoint folder and read it back.
+
+    For tables that several branches of a plan read: later readers scan only their columns, and a
+    lost executor costs no more than the tasks it ran.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
