@@ -66,7 +66,8 @@ def calibrate_moisture(x: Column) -> Column:
 
 
 def round2(x: Column) -> Column:
-    return F.round(x, 2)
+    """Two decimals, halves up. Nine decimals first, so the order of a sum cannot tip a half."""
+    return F.round(F.round(x, 9), 2)
 
 
 def round_half_even(x: Column) -> Column:

@@ -45,12 +45,16 @@ SITES = tuple(f"S{i}" for i in range(10))
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles to six places, whole numbers to long, dates to text: one form in both engines."""
+    """Doubles to six places, whole numbers to long, dates to text: one form in both engines.
+
+    The nudge keeps exact halves, which sixteenths of a degree produce all the time, from rounding
+    up in one engine and down in the other.
+    """
 
     def form(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            c = F.round(c.cast("double") + F.lit(1e-9), 6) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
         elif isinstance(f.dataType, T.DateType):
@@ -538,7 +542,7 @@ def month_sequence(spark, d):
 @query
 def calibrate_moisture(spark, d):
     rows = st.readings_hf(spark, d).select("site", "datetime", "moist")
-    return moisture.calibrate(rows).withColumn("raw_percent", scalars.calibrate_moisture(F.col("moist")))
+    return moisture.calibrate(rows.withColumn("percent", scalars.calibrate_moisture(F.col("moist"))))
 
 
 # --------------------------------------------------------------- reshape (J)
