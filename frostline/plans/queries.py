@@ -201,7 +201,7 @@ def sites_without_log(spark, d):
     events = st.table(spark, d, "events").select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("site"), "event_type", "value"
     )
-    return ledger.sites_without_log(events, events.filter("event_type = 'error' AND value > 20"))
+    return ledger.sites_without_log(events, events.filter("event_type = 'error' AND value > 150"))
 
 
 @query
