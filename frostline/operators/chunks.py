@@ -120,42 +120,43 @@ def carry(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
-    values: dict[str, Column],
-    forward: bool = True,
+    forward: dict[str, Column] | None = None,
+    backward: dict[str, Column] | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Last (or, backwards, next) non-null value up to and including each row, as new columns."""
+    """Nearest non-null values along ``order``, as new columns.
+
+    ``forward`` takes the last one up to and including each row, ``backward`` the next one from it
+    on. Each chunk passes one value per column to its neighbours.
+    """
     keys = list(keys)
+    forward, backward = forward or {}, backward or {}
+    values = {**forward, **backward}
     base = df.withColumn(CHUNK, time_chunk(order) if chunk is None else chunk)
-    for name, value in values.items():
-        base = base.withColumn(f"_v_{name}", value)
-    pick = F.max_by if forward else F.min_by
-    sums = base.groupBy(*keys, CHUNK).agg(
-        *[
-            pick(F.col(f"_v_{name}"), F.when(F.col(f"_v_{name}").isNotNull(), F.col(order))).alias(f"_c_{name}")
-            for name in values
-        ]
-    )
+    base = base.withColumns({f"_v_{name}": value for name, value in values.items()})
+
+    def edge(name: str) -> Column:
+        pick = F.max_by if name in forward else F.min_by
+        return pick(F.col(f"_v_{name}"), F.when(F.col(f"_v_{name}").isNotNull(), F.col(order)))
+
+    sums = base.groupBy(*keys, CHUNK).agg(*[edge(name).alias(f"_c_{name}") for name in values])
     along = Window.partitionBy(*keys).orderBy(CHUNK)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    if forward:
-        along = along.rowsBetween(Window.unboundedPreceding, -1)
-        inside = inside.rowsBetween(Window.unboundedPreceding, 0)
-        take = F.last
-    else:
-        along = along.rowsBetween(1, Window.unboundedFollowing)
-        inside = inside.rowsBetween(0, Window.unboundedFollowing)
-        take = F.first
-    carried = sums.select(
-        *keys, CHUNK, *[take(f"_c_{name}", ignorenulls=True).over(along).alias(f"_i_{name}") for name in values]
-    )
+
+    def outer(name: str) -> Column:
+        if name in forward:
+            return F.last(f"_c_{name}", True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+        return F.first(f"_c_{name}", True).over(along.rowsBetween(1, Window.unboundedFollowing))
+
+    def inner(name: str) -> Column:
+        if name in forward:
+            return F.last(f"_v_{name}", True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        return F.first(f"_v_{name}", True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+
+    carried = sums.select(*keys, CHUNK, *[outer(name).alias(f"_i_{name}") for name in values])
     joined = base.join(carried, [*keys, CHUNK], "left")
-    for name in values:
-        joined = joined.withColumn(
-            name, F.coalesce(take(f"_v_{name}", ignorenulls=True).over(inside), F.col(f"_i_{name}"))
-        )
-    drop = [CHUNK, *[f"{p}{n}" for n in values for p in ("_v_", "_i_")]]
-    return joined.drop(*drop)
+    joined = joined.withColumns({name: F.coalesce(inner(name), F.col(f"_i_{name}")) for name in values})
+    return joined.drop(CHUNK, *[f"{p}{n}" for n in values for p in ("_v_", "_i_")])
 
 
 def locf(

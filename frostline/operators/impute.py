@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frostline.operators.chunks import carry
 from frostline.operators.quality import timestamp_coverage
-from frostline.operators.reshape import pivot_sites, unpivot_sites
+from frostline.operators.reshape import pivot_sites
 from frostline.operators.resample import dense_grid
-from frostline.session import cut_lineage
+from frostline.session import stage
 
 FROZEN_BELOW = 1.0
 
@@ -39,8 +40,8 @@ def pmm_match(
     distinct = df.groupBy(*keys, prediction).agg(F.min_by(donor, present).alias("_donor"))
     distinct = distinct.withColumn("_donor", F.when(F.col("_donor.v").isNotNull(), F.col("_donor")))
     block = F.floor(F.col(prediction) / F.lit(width)).cast("long")
-    near = carry(distinct, keys, prediction, {"_below": F.col("_donor")}, True, block)
-    near = carry(near, keys, prediction, {"_above": F.col("_donor")}, False, block)
+    donors = F.col("_donor")
+    near = carry(distinct, keys, prediction, {"_below": donors}, {"_above": donors}, block)
     below = F.col(prediction) - F.col("_below.p")
     above = F.col("_above.p") - F.col(prediction)
     take_above = (
@@ -72,6 +73,7 @@ def impute_forest(
     max_iter: int = 10,
     max_depth: int = 10,
     predictors: int = 20,
+    block: int = 8,
     seed: int = 1,
     site: str = "site",
     time: str = "datetime",
@@ -79,75 +81,94 @@ def impute_forest(
 ) -> DataFrame:
     """Impute ``value`` per site from time, day of year, hour and the best correlated sites.
 
-    Sites are visited by rising number of nulls; one pass over all sites is repeated until the
-    error on the observed values stops falling. Trees are grown by MLlib over all partitions, and
-    the table is written to the shared checkpoint folder after each site, so a lost executor costs
-    one site at most. Returns (site, time, value, <value>_imp) on the dense grid of ``sites``.
+    Sites are visited by rising number of nulls, ``block`` at a time: the forests of a block are
+    grown side by side by MLlib, then their sites are filled together (``block=1`` visits one site
+    after the other). Passes repeat until the error on the observed values stops falling. The table
+    is staged after each block, so lost executors cost one block at most. Returns (site, time,
+    value, <value>_imp) on the dense grid of ``sites``.
     """
-    known = {s: f"o_{i}" for i, s in enumerate(sites)}
-    filled = {s: f"x_{i}" for i, s in enumerate(sites)}
-    # "f_" columns: the time index, day of year and hour.
+    ids = {s: i for i, s in enumerate(sites)}
     base = pivot_sites(df.select(site, time, value), value, sites, site, time)
-    base = cut_lineage(
+    # o_i: observed, x_i: filled, f_*: time index, day of year and hour.
+    base = stage(
         base.select(
             time,
             F.unix_seconds(F.col(time).cast("timestamp")).cast("double").alias("f_time"),
             F.dayofyear(time).cast("double").alias("f_yd"),
             F.hour(time).cast("double").alias("f_hour"),
-            *[F.col(f"`{s}`").alias(known[s]) for s in sites],
+            *[F.col(f"`{s}`").alias(f"o_{i}") for s, i in ids.items()],
         )
     )
     stats = base.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count(known[s]).alias(f"n_{known[s]}") for s in sites],
-        *[F.avg(known[s]).alias(f"m_{known[s]}") for s in sites],
-        *[F.var_pop(known[s]).alias(f"v_{known[s]}") for s in sites],
+        *[
+            f(F.col(f"o_{i}")).alias(f"{name}_{i}")
+            for i in ids.values()
+            for name, f in (("count", F.count), ("mean", F.avg), ("var", F.var_pop))
+        ],
     ).first()
-    total = stats["n"]
-    seen = {s: stats[f"n_{known[s]}"] for s in sites}
-    targets = sorted((s for s in sites if 0 < seen[s] < total), key=lambda s: (total - seen[s], s))
+    seen = {s: stats[f"count_{i}"] for s, i in ids.items()}
+    targets = sorted((s for s in sites if 0 < seen[s] < stats["n"]), key=lambda s: (-seen[s], s))
     usable = [s for s in sites if seen[s] > 0]
-    current = base.withColumns(
-        {filled[s]: F.coalesce(F.col(known[s]), F.lit(stats[f"m_{known[s]}"])) for s in sites}
-    )
     chosen = {
-        s: _predictors(base, known[s], [known[o] for o in usable if o != s], predictors) for s in targets
+        s: _predictors(base, f"o_{ids[s]}", [f"o_{ids[o]}" for o in usable if o != s], predictors) for s in targets
     }
+    current = base.withColumns({f"x_{i}": F.coalesce(f"o_{i}", F.lit(stats[f"mean_{i}"])) for i in ids.values()})
+    current = stage(current) if targets else current
+
+    def features(table: DataFrame, s: str) -> DataFrame:
+        inputs = ["f_time", "f_yd", "f_hour", *[c.replace("o_", "x_") for c in chosen[s]]]
+        return VectorAssembler(inputCols=inputs, outputCol=f"_features_{ids[s]}").transform(table)
+
+    def fit(table: DataFrame, s: str):
+        i = ids[s]
+        forest = RandomForestRegressor(
+            featuresCol=f"_features_{i}",
+            labelCol=f"o_{i}",
+            predictionCol=f"p_{i}",
+            numTrees=num_trees,
+            maxDepth=max_depth,
+            seed=seed,
+        )
+        return forest.fit(features(table, s).filter(F.col(f"o_{i}").isNotNull()))
+
     best, best_error = current, None
     for _ in range(max_iter if targets else 0):
         error = 0.0
-        for s in targets:
-            inputs = ["f_time", "f_yd", "f_hour", *[c.replace("o_", "x_") for c in chosen[s]]]
-            table = VectorAssembler(inputCols=inputs, outputCol="_features").transform(current)
-            forest = RandomForestRegressor(
-                featuresCol="_features",
-                labelCol=known[s],
-                predictionCol="_prediction",
-                numTrees=num_trees,
-                maxDepth=max_depth,
-                seed=seed,
+        for start in range(0, len(targets), block):
+            group = targets[start : start + block]
+            with ThreadPoolExecutor(len(group)) as pool:
+                models = list(pool.map(lambda s: fit(current, s), group))
+            predicted = current
+            for s, model in zip(group, models):
+                predicted = model.transform(features(predicted, s)).drop(f"_features_{ids[s]}")
+            cells = F.array(
+                *[
+                    F.struct(F.lit(ids[s]).alias("i"), F.col(f"p_{ids[s]}").alias("p"), F.col(f"o_{ids[s]}").alias("o"))
+                    for s in group
+                ]
             )
-            model = forest.fit(table.filter(F.col(known[s]).isNotNull()))
-            predicted = model.transform(table).drop("_features")
-            matched = pmm_match(predicted, "_prediction", known[s], time, width=width)
-            kept = [c for c in current.columns if c != filled[s]]
-            current = cut_lineage(
-                matched.select(*kept, F.col("matched").alias(filled[s]), F.col("_prediction").alias("_p"))
+            long = stage(predicted.select(time, F.inline(cells)))
+            misses = long.groupBy("i").agg(F.avg(F.pow(F.col("p") - F.col("o"), 2)).alias("e")).collect()
+            error += sum(r["e"] / (stats[f"var_{r['i']}"] or 1.0) for r in misses)
+            matched = pmm_match(long, "p", "o", time, ["i"], width)
+            wide = matched.groupBy(time).pivot("i", [ids[s] for s in group]).agg(F.first("matched"))
+            fresh = {f"x_{ids[s]}" for s in group}
+            current = stage(
+                current.drop(*fresh).join(
+                    wide.select(time, *[F.col(f"`{ids[s]}`").alias(f"x_{ids[s]}") for s in group]), time
+                )
             )
-            miss = current.agg(F.avg(F.pow(F.col(known[s]) - F.col("_p"), 2)).alias("e")).first()["e"] or 0.0
-            error += miss / (stats[f"v_{known[s]}"] or 1.0)
-            current = current.drop("_p")
         if best_error is not None and error >= best_error:
             break
         best, best_error = current, error
-    out = unpivot_sites(
-        best.select(time, *[F.struct(F.col(filled[s]).alias("v"), F.col(known[s]).isNull().alias("i")).alias(s) for s in sites]),
-        sites,
-        "_cell",
-        site,
-        time,
+    out = F.array(
+        *[
+            F.struct(F.lit(s).alias(site), F.col(f"x_{i}").alias(value), F.col(f"o_{i}").isNull().alias(f"{value}_imp"))
+            for s, i in ids.items()
+        ]
     )
-    return out.select(site, time, F.col("_cell.v").alias(value), F.col("_cell.i").alias(f"{value}_imp"))
+    return best.select(time, F.inline(out)).select(site, time, value, f"{value}_imp")
 
 
 def hide_frozen(df: DataFrame, t1: str = "T1", moist: str = "moist") -> DataFrame:
@@ -195,8 +216,3 @@ def impute_series(df: DataFrame, sites: Sequence[str], trees: Sequence[int] = (1
     moist = impute_forest(open_soil, "moist", sites, num_trees=trees[3], width=50.0, **options)
     final = frozen_moisture(grid, moist, temps["T1"])
     return combine_sensors([temps["T1"], temps["T2"], temps["T3"], final])
-
-
-def observed_unchanged(before: DataFrame, after: DataFrame, value: str) -> Column:
-    """Condition that an observed cell kept its value (for tests and checks)."""
-    return before[value].isNull() | (before[value] == after[value])

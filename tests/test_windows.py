@@ -53,7 +53,8 @@ def test_carry_equals_plain_fill(ragged, forward):
         want = F.last("x", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     else:
         want = F.first("x", True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    got = chunks.carry(ragged, ["k"], "t", {"y": F.col("x")}, forward, chunks.time_chunk("t", 2))
+    side = {"forward" if forward else "backward": {"y": F.col("x")}}
+    got = chunks.carry(ragged, ["k"], "t", chunk=chunks.time_chunk("t", 2), **side)
     expected = ragged.withColumn("y", want)
     assert sorted(map(str, got.select("k", "t", "x", "y").collect())) == sorted(map(str, expected.collect()))
 
