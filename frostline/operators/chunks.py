@@ -5,7 +5,9 @@ A series is cut into time chunks. Rolling frames see the rows across a chunk bor
 carried value per chunk. A series with a third of all rows is thus spread over as many tasks as
 it has chunks, and the data are shuffled once, by (series, chunk).
 
-Series keys must not be null, and the order columns must be unique within a series.
+The key of a part is one struct of series and chunk. A struct is never null itself, so null keys
+form a series of their own, and no null filter is inferred on one side of the joins below: both
+sides read the same exchange. The order columns must be unique within a series.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHUNK = "_chunk"
+PART = "_part"
+CHUNK = "_c"
 OWN = "_own"
 CHUNK_DAYS = 30
 
@@ -31,19 +34,28 @@ class Halo:
     """Rows with their halo copies; windows of bounded reach are exact on the own rows."""
 
     df: DataFrame
-    keys: tuple[str, ...]
     order: tuple[str, ...]
 
     @property
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, CHUNK).orderBy(*self.order)
+        return Window.partitionBy(PART).orderBy(*self.order)
 
     def frame(self, back: int, ahead: int) -> WindowSpec:
         return self.window.rowsBetween(-back, ahead)
 
     def own(self, df: DataFrame) -> DataFrame:
         """Drop the halo copies and the helper columns."""
-        return df.filter(OWN).drop(CHUNK, OWN)
+        return df.filter(OWN).drop(PART, OWN)
+
+
+def _part(keys: Sequence[str], chunk: Column, source: str = "") -> Column:
+    """Key of a part: the series keys (taken from the struct ``source`` if given) and the chunk."""
+    at = f"{source}." if source else ""
+    return F.struct(*[F.col(f"{at}{k}").alias(k) for k in keys], chunk.alias(CHUNK))
+
+
+def _series(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(f"{PART}.{k}").alias(k) for k in keys]) if keys else F.lit(0)
 
 
 def row_halo(
@@ -63,9 +75,9 @@ def row_halo(
     keys = tuple(keys)
     columns = df.columns
     chunk = time_chunk(order[0]) if chunk is None else chunk
-    part = Window.partitionBy(*keys, CHUNK)
+    part = Window.partitionBy(PART)
     ranked = (
-        df.withColumn(CHUNK, chunk)
+        df.withColumn(PART, _part(keys, chunk))
         .withColumn("_rn", F.row_number().over(part.orderBy(*order)))
         .withColumn("_n", F.count(F.lit(1)).over(part))
     )
@@ -73,47 +85,48 @@ def row_halo(
     row = F.struct(*[F.col(c) for c in columns], F.lit(False).alias(OWN))
     edges = (
         ranked.filter((F.col("_rn") <= max(ahead, 1)) | (F.col("_rn") > F.col("_n") - back))
-        .groupBy(*keys, CHUNK)
+        .groupBy(PART)
         .agg(F.first("_n").alias("_n"), F.collect_list(F.struct("_rn", row.alias("row"))).alias("_edge"))
     )
     # Rows of the series before the start and before the end of a chunk, and the chunks in reach.
-    along = Window.partitionBy(*keys).orderBy(CHUNK)
+    along = Window.partitionBy("_series").orderBy(f"{PART}.{CHUNK}")
+    this = F.col(f"{PART}.{CHUNK}")
     chunks = (
-        edges.withColumn("_end", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        edges.withColumn("_series", _series(keys))
+        .withColumn("_end", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumns(
             {
-                "_next": F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_start").alias("at"))).over(
+                "_next": F.collect_list(F.struct(this.alias("c"), F.col("_start").alias("at"))).over(
                     along.rowsBetween(1, max(back, 1))
                 ),
-                "_prev": F.collect_list(F.struct(F.col(CHUNK).alias("c"), F.col("_end").alias("at"))).over(
+                "_prev": F.collect_list(F.struct(this.alias("c"), F.col("_end").alias("at"))).over(
                     along.rowsBetween(-max(ahead, 1), -1)
                 ),
             }
         )
-        .select(*keys, "_start", "_next", "_prev", F.inline("_edge"))
+        .select(PART, "_start", "_next", "_prev", F.inline("_edge"))
     )
     after = F.filter("_next", lambda t: (t["at"] - F.col("_start") - F.col("_rn")) < F.lit(back))
     before = F.filter("_prev", lambda t: (F.col("_start") + F.col("_rn") - 1 - t["at"]) < F.lit(ahead))
     copies = (
         chunks.select(
-            *keys, F.explode(F.transform(F.concat(after, before), lambda t: t["c"])).alias(CHUNK), F.col("row").alias("_row")
+            PART, F.explode(F.transform(F.concat(after, before), lambda t: t["c"])).alias("_to"), F.col("row").alias("_row")
         )
-        .groupBy(*keys, CHUNK)
+        .select(_part(keys, F.col("_to"), PART).alias(PART), "_row")
+        .groupBy(PART)
         .agg(F.collect_list("_row").alias("_copies"))  # back + ahead rows at most
     )
     self_row = F.array(F.struct(*[F.col(c) for c in columns], F.lit(True).alias(OWN)))
     with_copies = F.when(
         (F.col("_rn") == 1) & F.col("_copies").isNotNull(), F.concat(self_row, F.col("_copies"))
     ).otherwise(self_row)
-    rest = [c for c in columns if c not in keys]
     out = (
-        ranked.join(copies, [*keys, CHUNK], "left")
-        .select(*keys, CHUNK, F.explode(with_copies).alias("_row"))
-        .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest], CHUNK, F.col(f"_row.{OWN}").alias(OWN))
-        .select(*columns, CHUNK, OWN)
+        ranked.join(copies, PART, "left")
+        .select(PART, F.explode(with_copies).alias("_row"))
+        .select(*[F.col(f"_row.{c}").alias(c) for c in columns], PART, F.col(f"_row.{OWN}").alias(OWN))
     )
-    return Halo(out, keys, order)
+    return Halo(out, order)
 
 
 def carry(
@@ -132,16 +145,17 @@ def carry(
     keys = list(keys)
     forward, backward = forward or {}, backward or {}
     values = {**forward, **backward}
-    base = df.withColumn(CHUNK, time_chunk(order) if chunk is None else chunk)
+    base = df.withColumn(PART, _part(keys, time_chunk(order) if chunk is None else chunk))
     base = base.withColumns({f"_v_{name}": value for name, value in values.items()})
 
     def edge(name: str) -> Column:
         pick = F.max_by if name in forward else F.min_by
         return pick(F.col(f"_v_{name}"), F.when(F.col(f"_v_{name}").isNotNull(), F.col(order)))
 
-    sums = base.groupBy(*keys, CHUNK).agg(*[edge(name).alias(f"_c_{name}") for name in values])
-    along = Window.partitionBy(*keys).orderBy(CHUNK)
-    inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
+    sums = base.groupBy(PART).agg(*[edge(name).alias(f"_c_{name}") for name in values])
+    sums = sums.withColumn("_series", _series(keys))
+    along = Window.partitionBy("_series").orderBy(f"{PART}.{CHUNK}")
+    inside = Window.partitionBy(PART).orderBy(order)
 
     def outer(name: str) -> Column:
         if name in forward:
@@ -153,10 +167,10 @@ def carry(
             return F.last(f"_v_{name}", True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
         return F.first(f"_v_{name}", True).over(inside.rowsBetween(0, Window.unboundedFollowing))
 
-    carried = sums.select(*keys, CHUNK, *[outer(name).alias(f"_i_{name}") for name in values])
-    joined = base.join(carried, [*keys, CHUNK], "left")
+    carried = sums.select(PART, *[outer(name).alias(f"_i_{name}") for name in values])
+    joined = base.join(carried, PART, "left")
     joined = joined.withColumns({name: F.coalesce(inner(name), F.col(f"_i_{name}")) for name in values})
-    return joined.drop(CHUNK, *[f"{p}{n}" for n in values for p in ("_v_", "_i_")])
+    return joined.drop(PART, *[f"{p}{n}" for n in values for p in ("_v_", "_i_")])
 
 
 def locf(

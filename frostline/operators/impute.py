@@ -205,14 +205,25 @@ def combine_sensors(parts: Sequence[DataFrame]) -> DataFrame:
     return joined.select(*values, *[c for c in joined.columns if c.endswith("_imp")])
 
 
-def impute_series(df: DataFrame, sites: Sequence[str], trees: Sequence[int] = (100, 50, 50, 50), **options) -> DataFrame:
-    """All four sensors of cleaned series, with the frozen-soil rules for moisture."""
+def impute_series(
+    df: DataFrame,
+    sites: Sequence[str],
+    trees: Sequence[int] = (100, 50, 50, 50),
+    drop_null: bool = False,
+    min_observed: int | None = None,
+    **options,
+) -> DataFrame:
+    """All four sensors of cleaned series, with the frozen-soil rules for moisture.
+
+    ``drop_null`` leaves out times at which no site was measured; ``min_observed`` replaces the
+    share of observed sites that moisture needs by a number of sites.
+    """
     temps = {
-        t: impute_forest(dense_grid(df, [t]), t, sites, num_trees=n, **options)
+        t: impute_forest(dense_grid(df, [t], drop_null=drop_null), t, sites, num_trees=n, **options)
         for t, n in zip(("T1", "T2", "T3"), trees)
     }
-    grid = dense_grid(df, ["T1", "moist"])
-    open_soil = covered_rows(hide_frozen(grid.select("site", "datetime", "T1", "moist")))
+    grid = dense_grid(df, ["T1", "moist"], drop_null=drop_null)
+    open_soil = covered_rows(hide_frozen(grid.select("site", "datetime", "T1", "moist")), min_observed=min_observed)
     moist = impute_forest(open_soil, "moist", sites, num_trees=trees[3], width=50.0, **options)
     final = frozen_moisture(grid, moist, temps["T1"])
     return combine_sensors([temps["T1"], temps["T2"], temps["T3"], final])

@@ -37,12 +37,14 @@ def rescale_max(df: DataFrame, value: str = "moist", site: str = "site", name: s
     return df.join(top, site).select(*df.columns, (ratio(F.col(value), F.col("_top")) * 100).alias(name))
 
 
-def daily_table(df: DataFrame) -> DataFrame:
+def daily_table(df: DataFrame, staged: bool = False) -> DataFrame:
     """Padded daily T1, T3, moist, moistsat and the imputed share of moist.
 
-    The site's maximum is taken from the daily maxima, so the readings are read once.
+    The site's maximum is taken from the daily maxima. With ``staged`` the daily sums are written
+    first, so the readings are read once, not also for the calendar and the maximum.
     """
-    daily = periods.padded_daily(periods.daily_partials(df, VALUES, FLAGS), VALUES, FLAGS)
+    partials = periods.daily_partials(df, VALUES, FLAGS)
+    daily = periods.padded_daily(stage(partials) if staged else partials, VALUES, FLAGS)
     top = daily.groupBy("site").agg(F.max("hi_moist").alias("_top"))
     return daily.join(top, "site").select(
         "site", "date", "year", "month", "doy", "n", "c_T1", *VALUES,
@@ -204,7 +206,7 @@ def moisture_indices(df: DataFrame, fix_labels: bool = False) -> DataFrame:
 
     The statistics of all periods come from one aggregate over labelled days.
     """
-    daily = stage(daily_table(df))
+    daily = stage(daily_table(df, staged=True))
     years = complete_years(daily)
     bounds = stage(growing_bounds(daily, years))
     whole = stage(daily.join(years, ["site", "year"], "left_semi"))

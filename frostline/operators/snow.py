@@ -126,6 +126,6 @@ def snow_periods(days: DataFrame, on_off: DataFrame) -> DataFrame:
 
 def snow_indices(df: DataFrame) -> DataFrame:
     """All snow indices of imputed T2 series, long."""
-    days = stage(snow_year(snow_days(daily_minmax(df))))
+    days = stage(snow_year(stage(snow_days(daily_minmax(df)))))
     on_off = snow_on_off(days)
     return reduce(DataFrame.unionByName, [on_off, snow_periods(days, on_off)])

@@ -11,13 +11,15 @@ from frostline.config import AREAS, ERROR_CODES, PEAK_RULES, PLAUSIBLE, SENSORS,
 from frostline.operators.bias import apply_bias
 from frostline.operators.dedup import keep_first, merge_archive
 from frostline.operators.gaps import fill_gaps_logger, fill_gaps_site
+from frostline.operators.impute import impute_forest, impute_series
 from frostline.operators.ledger import drop_not_in_field, label_errors
 from frostline.operators.masks import mask_codes, mask_visits_and_range
 from frostline.operators.moisture import calibrate, moisture_indices
 from frostline.operators.peaks import flag_peaks, mask_peaks
 from frostline.operators.quality import drop_stray_minutes, plausible_dates
 from frostline.operators.registry import assign_site, assign_site_from_map
-from frostline.operators.resample import regularise
+from frostline.operators.resample import dense_grid, regularise
+from frostline.operators.snow import snow_indices
 from frostline.operators.thermal import temperature_indices
 from frostline.session import stage
 
@@ -83,6 +85,37 @@ def clean_t2_for_snow(
     )
 
 
+def sites_of(df: DataFrame) -> list[str]:
+    """Site codes of one area, sorted; they become columns, so Spark's pivot limit applies."""
+    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = [r["site"] for r in df.select("site").distinct().filter("site is not null").limit(limit + 1).collect()]
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} sites: run one area at a time")
+    return sorted(found)
+
+
+def imputed_table(cleaned: DataFrame, area: Area | str, **options) -> DataFrame:
+    """Cleaned to imputed, with the area's numbers of trees and filters."""
+    area = AREAS[area] if isinstance(area, str) else area
+    out = impute_series(
+        cleaned,
+        sites_of(cleaned),
+        area.trees,
+        drop_null=area.drop_null_before_pivot,
+        min_observed=area.min_observed_sites,
+        **options,
+    )
+    return out.filter("T3 is not null") if area.keep_only_t3 else out
+
+
+def snow_table(
+    raw: DataFrame, bias: DataFrame, visits: DataFrame, area: Area | str, chunk: Column | None = None, **options
+) -> DataFrame:
+    """Raw to snow indices: T2 cleaned by its own chain, imputed with 100 trees."""
+    t2 = stage(clean_t2_for_snow(raw, bias, visits, area, chunk))
+    return snow_indices(impute_forest(dense_grid(t2, ["T2"]), "T2", sites_of(t2), num_trees=100, **options))
+
+
 def index_tables(imputed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Imputed series to the temperature and moisture index tables."""
     df = calibrate(imputed.filter("datetime is not null and site is not null"))

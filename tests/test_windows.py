@@ -64,7 +64,7 @@ def test_halo_spreads_one_hot_series(spark):
         F.lit("hot").alias("k"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, int(id) * 15, 0)").alias("t"), F.col("id").alias("x")
     )
     halo = chunks.row_halo(hot, ["k"], "t", 4, 4, chunks.time_chunk("t", 2))
-    sizes = [r["count"] for r in halo.df.groupBy("k", chunks.CHUNK).count().collect()]
+    sizes = [r["count"] for r in halo.df.groupBy(chunks.PART).count().collect()]
     assert len(sizes) > 20 and max(sizes) <= 2 * 96 + 8
     assert halo.own(halo.df).count() == 5000
 
@@ -107,3 +107,13 @@ def test_interpolation_single_double_and_ends(series):
 def test_interpolation_is_time_weighted(series):
     df = series([0, None, 3], stamps=["2024-01-01 00:00", "2024-01-01 00:10", "2024-01-01 00:30"])
     assert column(interpolate_short_gaps(df, ["site"], "datetime", ["T1"]), "T1") == [0.0, 1.0, 3.0]
+
+
+def test_null_keys_form_their_own_series(spark):
+    rows = [(k, d, float(i)) for k in (None, "a") for i, d in enumerate((1, 2, 40, 41))]
+    df = spark.createDataFrame(rows, "k string, d int, x double").select(
+        "k", F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(d)").alias("t"), "x"
+    )
+    halo = chunks.row_halo(df, ["k"], "t", 1, 0, chunks.time_chunk("t", 3))
+    out = halo.own(halo.df.withColumn("l", F.lag("x").over(halo.window)))
+    assert sorted(str(r["l"]) for r in out.collect()) == sorted(["None", "0.0", "1.0", "2.0"] * 2)
