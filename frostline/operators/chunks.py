@@ -105,15 +105,15 @@ def row_halo(
                 ),
             }
         )
-        .select(PART, "_start", "_next", "_prev", F.inline("_edge"))
+        .select("_start", "_next", "_prev", F.inline("_edge"))
     )
     after = F.filter("_next", lambda t: (t["at"] - F.col("_start") - F.col("_rn")) < F.lit(back))
     before = F.filter("_prev", lambda t: (F.col("_start") + F.col("_rn") - 1 - t["at"]) < F.lit(ahead))
     copies = (
         chunks.select(
-            PART, F.explode(F.transform(F.concat(after, before), lambda t: t["c"])).alias("_to"), F.col("row").alias("_row")
+            F.explode(F.transform(F.concat(after, before), lambda t: t["c"])).alias("_to"), F.col("row").alias("_row")
         )
-        .select(_part(keys, F.col("_to"), PART).alias(PART), "_row")
+        .select(_part(keys, F.col("_to"), "_row").alias(PART), "_row")
         .groupBy(PART)
         .agg(F.collect_list("_row").alias("_copies"))  # back + ahead rows at most
     )

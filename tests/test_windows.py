@@ -40,7 +40,8 @@ def test_halo_windows_equal_plain_windows(ragged, days, back, ahead):
             **({"lead": F.lead("x", ahead).over(w)} if ahead else {}),
         }
 
-    halo = chunks.row_halo(ragged, ["k"], "t", back, ahead, chunks.time_chunk("t", days))
+    ragged = ragged.withColumn("k2", F.lit(1)).select("k", "k2", "t", "x")
+    halo = chunks.row_halo(ragged, ["k", "k2"], "t", back, ahead, chunks.time_chunk("t", days))
     got = halo.own(halo.df.withColumns(features(halo.window)))
     want = ragged.withColumns(features(plain))
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
