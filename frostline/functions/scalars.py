@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 
 from frostline.config import MONTHS
 
-# Accepted layouts of a logger's time text, after "/" became ".".
-TIME_LAYOUTS = (
-    "yyyy.MM.dd HH:mm:ss",
-    "dd.MM.yyyy HH:mm:ss",
-    "yyyy.MM.dd HH:mm",
-    "dd.MM.yyyy HH:mm",
-)
+# Accepted layouts of a logger's time text, after "/" became "."; seconds are optional.
+YEAR_FIRST = r"^(\d{4})\.(\d{1,2})\.(\d{1,2}) (\d{1,2}:\d{2}(:\d{2})?)$"
+DAY_FIRST = r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) (\d{1,2}:\d{2}(:\d{2})?)$"
 
 HYDRO_SHIFT_DAYS = 122
 
@@ -45,10 +41,16 @@ def normalise_time_text(x: Column) -> Column:
 
 
 def parse_logger_time(x: Column, ntz: bool = False) -> Column:
-    """First of the accepted layouts that fits; null when none does."""
+    """Time of a text in one of the accepted layouts; null when none fits.
+
+    The text is put in ISO order and cast, which costs no exception for layouts that do not fit.
+    """
     text = normalise_time_text(x)
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(layout)) for layout in TIME_LAYOUTS])
-    return parsed.cast("timestamp_ntz") if ntz else parsed
+    iso = (
+        F.when(text.rlike(YEAR_FIRST), F.regexp_replace(text, YEAR_FIRST, "$1-$2-$3 $4"))
+        .when(text.rlike(DAY_FIRST), F.regexp_replace(text, DAY_FIRST, "$3-$2-$1 $4"))
+    )
+    return iso.try_cast("timestamp_ntz" if ntz else "timestamp")
 
 
 def hydro_date(date: Column) -> Column:

@@ -51,9 +51,12 @@ def dedup_in_file(rows: DataFrame) -> DataFrame:
     return keep_last(rows, ["path", "V2"], [F.col("V1").cast("long")])
 
 
-def parse_readings(rows: DataFrame, ntz: bool = False) -> DataFrame:
-    """Typed readings; rows whose time does not parse are left out (see :func:`bad_rows`)."""
+def typed_rows(rows: DataFrame, ntz: bool = False) -> DataFrame:
+    """File, row index and time text, with the values as numbers and the time parsed."""
     return rows.select(
+        "path",
+        "V1",
+        "V2",
         logger_id_from_path(F.col("path")).alias("tomst_id"),
         parse_logger_time(F.col("V2"), ntz).alias("datetime"),
         F.col("V3").try_cast("int").alias("zone"),
@@ -61,7 +64,7 @@ def parse_readings(rows: DataFrame, ntz: bool = False) -> DataFrame:
         parse_decimal_comma(F.col("V5")).alias("T2"),
         parse_decimal_comma(F.col("V6")).alias("T3"),
         F.col("V7").try_cast("double").alias("moist"),
-    ).filter("datetime is not null")
+    )
 
 
 def bad_rows(rows: DataFrame) -> DataFrame:
@@ -70,9 +73,14 @@ def bad_rows(rows: DataFrame) -> DataFrame:
 
 
 def readings_from_rows(rows: DataFrame, ntz: bool = False) -> DataFrame:
-    """Short files out, repeated times out, text to values."""
-    rows = rows.withColumn("V2", normalise_time_text(F.col("V2")))
-    return parse_readings(dedup_in_file(reject_short_files(rows)), ntz)
+    """Short files out, text to values, repeated times out.
+
+    Rows whose time does not parse are left out (see :func:`bad_rows`). Values are parsed before the
+    repeats go, so that filter is not pushed down as one huge expression over the raw line.
+    """
+    rows = reject_short_files(rows.withColumn("V2", normalise_time_text(F.col("V2"))))
+    readings = dedup_in_file(typed_rows(rows, ntz)).drop("path", "V1", "V2")
+    return readings.filter("datetime is not null")
 
 
 def scan_logger_files(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "data_*") -> DataFrame:
