@@ -1,4 +1,4 @@
-"""Session defaults and the shared folder for lineage cuts."""
+"""Session defaults and the shared folder for staged tables and lineage cuts."""
 
 from __future__ import annotations
 
@@ -29,7 +29,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder of ``spark.checkpoint.dir``; a temporary one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="frostline-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -44,12 +45,43 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage_folder(spark: SparkSession) -> str:
+    """Folder of this application's staged tables, below ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stages-{spark.sparkContext.applicationId}"
+
+
+def new_stage_path(spark: SparkSession) -> str:
+    """A path in the stage folder that nothing uses yet."""
+    return f"{stage_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as parquet in the shared checkpoint folder and read it back.
+    """Write ``df`` once as parquet in the shared checkpoint folder and read it back. Runs a job.
 
     For tables that several branches of a plan read: later readers scan only their columns, and a
-    lost executor costs no more than the tasks it ran.
+    lost executor costs no more than the tasks it ran. ``drop_stages`` removes the files.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = new_stage_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this application's stages through the Hadoop file system."""
+    if not path.startswith(stage_folder(spark)):
+        raise ValueError(f"not a staged folder: {path}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a table that ``stage`` returned, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        name = folder.rsplit("/", 1)[-1]
+        remove_path(spark, f"{stage_folder(spark)}/{name}")
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete all staged tables of this application; results not yet written can't be read after it."""
+    remove_path(spark, stage_folder(spark))
