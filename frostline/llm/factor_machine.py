@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frostline.llm.text import coded_words, pieces, small_batches, sums, utf8
+from frostline.llm.text import coded_words, distinct, pieces, small_batches, sums, utf8
 from frostline.session import stage, unstage
 
 BUCKET_BITS = 20
@@ -50,9 +50,9 @@ def term_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """
     rows, codes, words = coded_words(pc.utf8_lower(texts.cast(pa.string())), lower=False)
     n = max(1, len(words))
-    pairs = np.unique(rows * n + codes)
+    pairs = distinct(rows * n + codes)
     rows, codes = pairs // n, pairs % n
-    plain = [w.encode().strip(EDGE_MARKS) for w in words.to_pylist()]
+    plain = [w.encode().strip(EDGE_MARKS) for w in words.to_numpy(zero_copy_only=False).tolist()]
     whole = np.array([zlib.crc32(w) for w in plain], dtype=np.uint64)
     head = np.frombuffer(b"".join(w[:8].ljust(8, b"\0") for w in plain), dtype="<u8")
     size = np.array([len(w) for w in plain], dtype=np.int64)
@@ -81,7 +81,7 @@ def structure_of(texts: pa.Array) -> np.ndarray:
 
     count = np.bincount(rows, minlength=n)
     w = np.maximum(count, 1)
-    distinct = np.bincount(np.unique(rows * max(1, len(words)) + codes) // max(1, len(words)), minlength=n)
+    different = np.bincount(distinct(rows * max(1, len(words)) + codes) // max(1, len(words)), minlength=n)
     longest = np.zeros(n, dtype=np.int64)
     if len(rows):
         start = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (codes[1:] != codes[:-1])]))
@@ -91,7 +91,7 @@ def structure_of(texts: pa.Array) -> np.ndarray:
         [
             np.log1p(count),
             size * (1 - white) / w,
-            np.log1p(distinct) / np.log1p(w),
+            np.log1p(different) / np.log1p(w),
             longest / np.sqrt(w),
             share(range(65, 91)),
             share(range(48, 58)),
@@ -115,7 +115,7 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, stati
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             rows, buckets = term_buckets(b.column("text"))
-            pairs = np.unique(rows * BUCKETS + buckets)
+            pairs = distinct(rows * BUCKETS + buckets)
             cuts = np.searchsorted(pairs, np.arange(b.num_rows + 1) * BUCKETS).astype(np.int32)
             terms = pa.ListArray.from_arrays(pa.array(cuts), pa.array((pairs % BUCKETS).astype(np.int32)))
             stats = structure_of(b.column("text")).tolist() if statistics else [[]] * b.num_rows

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frostline.llm.text import coded_words, pieces, small_batches, sums, utf8
+from frostline.llm.text import coded_words, distinct, pieces, small_batches, sums, utf8
 from frostline.session import stage
 
 SYMBOLS = b"#*$%&|<>"
@@ -83,8 +83,8 @@ def statistics_of(texts: pa.Array) -> dict[str, np.ndarray]:
     marks = among(b"!?.,;:-_=+~^/\\@'\"()[]{}")
     lines = np.array([_lines(t) for t in texts.to_pylist()], dtype=np.int64).reshape(-1, 2)
     repeats = _repeat_words(rows, codes, len(words), n)
-    pairs = np.unique(rows * max(1, len(words)) + codes) // max(1, len(words))
-    distinct = np.bincount(pairs, minlength=n)
+    pairs = distinct(rows * max(1, len(words)) + codes) // max(1, len(words))
+    different = np.bincount(pairs, minlength=n)
     w = np.maximum(n_words, 1)
     out = {"n_words": n_words, "word_chars": points - white, "n_symbols": symbols, "n_dup_lines": lines[:, 1], "n_repeat_words": repeats}
     out |= {
@@ -92,7 +92,7 @@ def statistics_of(texts: pa.Array) -> dict[str, np.ndarray]:
         "symbols": np.log1p(4 * symbols / w),
         "dup_lines": lines[:, 1] / np.maximum(lines[:, 0], 1),
         "repeats": np.sqrt(repeats / w),
-        "variety": np.log1p(distinct) / np.log1p(w),
+        "variety": np.log1p(different) / np.log1p(w),
         "upper": np.sqrt(upper / np.maximum(upper + lower, 1)),
         "marks": np.log1p(marks / w),
     }

@@ -35,7 +35,7 @@ def fingerprints_of(texts: pa.Array, size: int = 3) -> np.ndarray:
         return out
     counts = np.bincount(rows, minlength=len(texts))
     lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    joined = b" ".join(words.cast(pa.binary()).to_pylist())
+    joined = b" ".join(words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
     starts = np.cumsum(lengths + 1) - lengths - 1
     ends = starts + lengths
     first = np.cumsum(counts) - counts

@@ -66,3 +66,9 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of each stretch ``offsets[i]:offsets[i + 1]``; empty stretches sum to 0."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.float64 if values.dtype.kind == "f" else np.int64)])
     return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; by sorting, which is faster here than hashing."""
+    ordered = np.sort(values)
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
