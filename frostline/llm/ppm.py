@@ -19,11 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frostline.llm.text import coded_words, distinct, fold, pieces, small_batches
+from frostline.llm.text import coded_words, fold, pieces, small_batches
 from frostline.session import stage
 
-ORDER = 5
-CELLS = 1 << 20
+ORDER = 4
+CELLS = 1 << 21
 HOT = 1 << 18  # words that hold at least so small a share of all tokens are looked up in the task: HOT of them at most
 KEY_BYTES = 32  # longer words are known by a digest
 EDGE = 0xFF  # never occurs in UTF-8: stands before a text, as often as contexts are long, and once after it
@@ -257,6 +257,8 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS, folds: int =
     and end token. Null texts are empty: one end token. A null ``doc_id`` is not held out; repeated rows count and are
     scored each. Empty in, empty out.
     """
+    if not 0 <= order <= 6:
+        raise ValueError("contexts hold 0 to 6 bytes")
     spark = docs.sparkSession
     small_batches(spark)
     counts = stage(corpus_counts(docs, order, folds))
