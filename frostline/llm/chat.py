@@ -22,7 +22,7 @@ def _part(seed: int) -> Column:
 
 def positions(turns: DataFrame, values: list[str], block: int = BLOCK) -> DataFrame:
     """``turns`` with the running sum of each of ``values`` (decimal) per ``conv_id`` in the order of ``turn, role, text``."""
-    t = turns.withColumn("block", F.floor(F.coalesce(F.col("turn"), F.lit(0)) / block))
+    t = turns.withColumn("block", F.coalesce(F.floor(F.col("turn") / block), F.lit(-(1 << 62))))
     inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     totals = t.groupBy("conv_id", "block").agg(*[F.sum(v).alias(f"{v}_all") for v in values])
