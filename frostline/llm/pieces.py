@@ -74,6 +74,9 @@ class Lattice:
         order = np.argsort(keys)
         self.keys, self.child = keys[order], np.array(list(trie.values()), dtype=np.int64)[order]
         self.ends = np.array(ends, dtype=np.int64)
+        self.root = np.zeros(NO_CHARACTER + 1, dtype=np.int32)  # child of the root by character, 0 for none
+        of_root = self.keys < 1 << 21
+        self.root[self.keys[of_root]] = self.child[of_root]
         rank = np.array([max(0.0, -model.get_score(i)) for i in range(n)])
         rank[self.byte_ids] = n
         self.weight = -power * np.log(2.0 + rank)
@@ -87,10 +90,15 @@ class Lattice:
         at, node, size = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0
         single = np.zeros(len(chars), dtype=bool)
         while len(at):
-            key = node << 21 | chars[at + size]
-            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ok = self.keys[place] == key
-            at, node, size = at[ok], self.child[place[ok]], size + 1
+            if size:
+                key = node << 21 | chars[at + size]
+                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                ok = self.keys[place] == key
+                at, node = at[ok], self.child[place[ok]]
+            else:
+                node = self.root[chars].astype(np.int64)
+                at, node = np.flatnonzero(node), node[node > 0]
+            size += 1
             piece = self.ends[node]
             full = piece >= 0
             starts.append(at[full])
@@ -134,25 +142,27 @@ class Lattice:
         width = 1 + (original >= 0x80) + (original >= 0x800) + (original >= 0x10000)
         weight = np.where(spelt, width[start] * self.weight[self.byte_ids[0]], self.weight[piece])
         offset = target - base[word_of[start]]
-        by = np.lexsort((target, offset))
+        by = np.argsort(target * 64 + 63 - np.minimum(size, 63))  # the longest piece to a place first
         source, target, weight, offset, start, piece = (x[by] for x in (source, target, weight, offset, start, piece))
         alpha = np.full(len(chars) + len(words), -np.inf)
         alpha[base] = 0.0
-        levels = np.flatnonzero(np.concatenate([[True], offset[1:] != offset[:-1]]))
-        for a, b in zip(levels, [*levels[1:], len(offset)], strict=True):
-            value, to = alpha[source[a:b]] + weight[a:b], target[a:b]
+        small = offset.astype(np.uint16) if offset.max() < 1 << 16 else offset
+        by_level = np.argsort(small, kind="stable")
+        levels = np.searchsorted(offset[by_level], np.arange(1, offset.max() + 2))
+        for a, b in zip(levels[:-1], levels[1:], strict=True):
+            level = by_level[a:b]
+            value, to = alpha[source[level]] + weight[level], target[level]
             groups = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
             top = np.maximum.reduceat(value, groups)
             counts = np.diff(np.append(groups, b - a))
             alpha[to[groups]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts)), groups))
-        by = np.argsort(target, kind="stable")
-        source, target, weight, start, piece = (x[by] for x in (source, target, weight, start, piece))
         share = np.exp(alpha[source] + weight - alpha[target])
         groups = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1]]))
         run = np.cumsum(share)
         run -= np.repeat(run[groups] - share[groups], np.diff(np.append(groups, len(target))))
-        run[np.append(groups[1:], len(target)) - 1] = 1.0
-        ladder = target + np.minimum(run, 1.0)  # rises within a target and from one to the next
+        run[np.append(groups[1:], len(target)) - 1] = 2.0  # whatever is drawn, the last piece to a place ends the search
+        first_edge = np.zeros(len(alpha), dtype=np.int64)
+        first_edge[target[groups]] = groups
         # Backward sampling of all words of the batch at once.
         index = np.arange(len(which)) - np.searchsorted(row, row)
         seeds = _mixed(keys[row].view(np.uint64) ^ _mixed(index.astype(np.uint64)))
@@ -160,8 +170,11 @@ class Lattice:
         picked, owner, step = [], [], 0
         while len(live):
             draw = (_mixed(seeds[live] + np.uint64(step)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
-            edge = np.searchsorted(ladder, place + np.maximum(draw, 2.0**-53), side="left")
-            edge = np.minimum(edge, len(ladder) - 1)
+            edge = first_edge[place]
+            on = np.flatnonzero(run[edge] < draw)
+            while len(on):
+                edge[on] += 1
+                on = on[run[edge[on]] < draw[on]]
             picked.append(edge)
             owner.append(live)
             place = source[edge]
@@ -203,7 +216,7 @@ def lattice(model_path: str, power: float) -> Lattice:
     return Lattice(model_path, power)
 
 
-def sample(docs: DataFrame, model_path: str, power: float = 1.0, seed: int = 0, batch_bytes: int = 2 << 20) -> DataFrame:
+def sample(docs: DataFrame, model_path: str, power: float = 1.0, seed: int = 0, batch_bytes: int = 4 << 20) -> DataFrame:
     """``doc_id, ids``: a sampled segmentation of every text, the same in every run.
 
     Draws are seeded by ``doc_id`` (as text; null is a key like another) and ``seed``, so repeated rows get equal ids. A null
@@ -237,7 +250,7 @@ def decode(rows: DataFrame, model_path: str, power: float = 1.0) -> DataFrame:
     return rows.select("doc_id", F.col("ids").cast("array<int>").alias("ids")).mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def digest(docs: DataFrame, model_path: str, power: float = 1.0, seed: int = 0, batch_bytes: int = 2 << 20) -> DataFrame:
+def digest(docs: DataFrame, model_path: str, power: float = 1.0, seed: int = 0, batch_bytes: int = 4 << 20) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32`` (of unsigned little-endian 32-bit ids) and ``lossless``: decoding gives the text back."""
     small_batches(docs.sparkSession)
 
