@@ -265,7 +265,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS, folds: int =
     model = spark.sparkContext.broadcast(trie(counts, order, cells))
     words = counts.where("kind = 0")
     n, every, v = words.agg(F.coalesce(F.sum("train"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0)), F.count(F.when(F.col("train") > 0, 1))).first()
-    often = words.where(F.col("total") * hot >= every).select("word", "train").toPandas()
+    often = words.where((F.col("total") * hot >= every) | (F.octet_length("word") == 0)).select("word", "train").toPandas()
     table = spark.sparkContext.broadcast({bytes(w): int(c) for w, c in zip(often["word"], often["train"], strict=True)})
     names = ["row", "key", "n", "doc_id", "held_out", "n_tokens", "n_known", "counted", "score"]
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -96,4 +96,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_chat_collapse": chat.ORACLE}
