@@ -3,6 +3,8 @@
 Fingerprints are sorted by Gray rank and cut into ranges, so a range shares most of its leading bits. Each range is one
 tree: a node stores the bits on which all its fingerprints agree, a child only those that its parent does not fix yet.
 A search adds up the differing bits on its way down and leaves a whole group as soon as they exceed the limit.
+As fingerprints that differ in a leading bit are far apart in the order, there is one order for each block of bits that
+near fingerprints may agree in.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from frostline.session import stage
 SEED = 42
 DISTANCE = 2
 GROUP = 8192  # fingerprints of a range that is aimed at
-MOST_RANGES = 4096  # ranges at most; bounds what is sent to every task
+MOST_RANGES = 4096  # ranges of an order at most; bounds what is sent to every task
 FANOUT = 8
 
 
@@ -120,48 +122,71 @@ def _ordered(fp: np.ndarray) -> np.ndarray:
     return (gray_rank(fp) ^ np.uint64(1 << 63)).view(np.int64)
 
 
+def _turned(fp: np.ndarray, by: int) -> np.ndarray:
+    """Bits rotated to the left."""
+    return (fp << np.uint64(by) | fp >> np.uint64(64 - by)) if by % 64 else fp
+
+
 def links(distinct: DataFrame, limit: int = DISTANCE, group: int = GROUP) -> DataFrame:
     """``a, b``: edges that connect exactly what fingerprints at ``limit`` or fewer bits connect.
 
-    ``distinct`` has one row per fingerprint ``fp``. Ranges hold about ``group`` fingerprints; only their bounds and
-    agreed bits, ``MOST_RANGES`` at most, pass the driver. A fingerprint is sent to the ranges that may hold a partner
-    of higher rank; a task holds one range and streams the fingerprints sent to it.
+    ``distinct`` has one row per fingerprint ``fp``. Two such fingerprints agree in one of ``limit + 1`` blocks of bits, so
+    there is an order for each block, in which it leads. Each order is cut into ranges of about ``group`` fingerprints; only
+    their bounds and agreed bits, ``MOST_RANGES`` at most, pass the driver. A task holds one range and searches it for its
+    own fingerprints, and for those sent to it: of lower rank, with the same leading block, and near its agreed bits.
+    Most leading blocks lie within one range, so each fingerprint is sent about once for each order.
     """
-    spark = distinct.sparkSession
+    starts = [64 * k // (limit + 1) for k in range(limit + 2)]
 
     def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = b.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_ordered(fp))], ["fp", "place"])
-
-    placed = stage(distinct.select("fp").mapInArrow(ranked, "fp long, place long"))
-    total = placed.count()
-    if total < 2:
-        return placed.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    ranges = min(MOST_RANGES, -(-total // group))
-    cuts = placed.agg(F.percentile_approx("place", [(i + 1) / ranges for i in range(ranges)], 10 * MOST_RANGES)).first()[0]
-    bounds = np.unique(np.array(cuts[:-1], dtype=np.int64))  # a range ends with its bound
+            for k, by in enumerate(starts[:-1]):
+                own = _turned(fp, by)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), k, np.int32)), pa.array(own.view(np.int64)), pa.array(_ordered(own))], ["turn", "fp", "place"])
+
+    placed = stage(distinct.select("fp").mapInArrow(ranked, "turn int, fp long, place long"))
+    ranges = min(MOST_RANGES, max(1, -(-placed.count() // (group * (limit + 1)))))
+    found = placed.groupBy("turn").agg(F.percentile_approx("place", [(i + 1) / ranges for i in range(ranges)], 10 * MOST_RANGES)).collect()
+    bounds = {r[0]: np.unique(np.array(r[1][:-1], dtype=np.int64)) for r in found}  # a range ends with its bound
+
+    def own_parts(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per order in the batch: its number, fingerprints, places, and their ranges in it."""
+        turns = b.column("turn").to_numpy()
+        for k in np.unique(turns):
+            rows = np.flatnonzero(turns == k)
+            place = b.column("place").to_numpy()[rows]
+            yield int(k), b.column("fp").to_numpy()[rows], place, np.searchsorted(bounds[int(k)], place, side="left")
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own = np.searchsorted(bounds, b.column(1).to_numpy(), side="left")
-            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), b.column(0)], ["part", "fp"])
+            for k, fp, _, own in own_parts(b):
+                yield pa.RecordBatch.from_arrays([pa.array((own + k * MOST_RANGES).astype(np.int32)), pa.array(fp)], ["part", "fp"])
 
-    roots = placed.mapInArrow(dealt, "part int, fp long").groupBy("part").agg(F.bit_and("fp"), F.bit_or("fp")).orderBy("part").collect()
-    parts = np.array([r[0] for r in roots], dtype=np.int32)
-    pattern = np.array([r[1] for r in roots], dtype=np.int64).view(np.uint64)
-    agreed = ~(pattern ^ np.array([r[2] for r in roots], dtype=np.int64).view(np.uint64))
+    roots = placed.mapInArrow(dealt, "part int, fp long").groupBy("part").agg(F.bit_and("fp"), F.bit_or("fp")).collect()
+    pattern, loose = np.zeros(MOST_RANGES * (limit + 1), np.uint64), np.zeros(MOST_RANGES * (limit + 1), np.uint64)
+    filled = np.array([r[0] for r in roots], dtype=np.int64)
+    pattern[filled] = np.array([r[1] for r in roots], dtype=np.int64).view(np.uint64)
+    loose[filled] = pattern[filled] ^ np.array([r[2] for r in roots], dtype=np.int64).view(np.uint64)
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["part", "asks", "fp"]
+        def rows(part: np.ndarray, asks: int, fp: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(np.full(len(fp), asks, np.int32)), pa.array(fp)], ["part", "asks", "fp"])
+
         for b in batches:
-            for at in range(0, b.num_rows, 2048):
-                fp = b.column(0).slice(at, 2048).to_numpy()
-                own = np.searchsorted(bounds, b.column(1).slice(at, 2048).to_numpy(), side="left")
-                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(np.zeros(len(fp), np.int32)), pa.array(fp)], names)
-                far = np.bitwise_count((fp.view(np.uint64)[:, None] ^ pattern[None, :]) & agreed[None, :])
-                who, where = np.nonzero((far <= limit) & (parts[None, :] >= own[:, None]))
-                yield pa.RecordBatch.from_arrays([pa.array(parts[where]), pa.array(np.ones(len(who), np.int32)), pa.array(fp[who])], names)
+            for k, fp, place, own in own_parts(b):
+                yield rows(own + k * MOST_RANGES, 0, fp)
+                rest = np.uint64(64 - (starts[k + 1] - starts[k]))  # bits after the leading block
+                rank = place.view(np.uint64) ^ np.uint64(1 << 63)
+                block_ends = (rank | ((np.uint64(1) << rest) - np.uint64(1))) ^ np.uint64(1 << 63)
+                last = np.searchsorted(bounds[k], block_ends.view(np.int64), side="left")
+                for at in range(0, len(fp), 4096):
+                    more = (last - own)[at : at + 4096]
+                    who = np.repeat(np.arange(at, at + len(more)), more)
+                    where = own[who] + 1 + np.arange(len(who)) - np.repeat(np.cumsum(more) - more, more) + k * MOST_RANGES
+                    near = np.bitwise_count((fp[who].view(np.uint64) ^ pattern[where]) & ~loose[where]) <= limit
+                    if near.any():
+                        yield rows(where[near], 1, fp[who[near]])
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, tree = -1, [], None
@@ -174,24 +199,38 @@ def links(distinct: DataFrame, limit: int = DISTANCE, group: int = GROUP) -> Dat
             b.clear()
             return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)), pa.array(y.view(np.int64))], ["a", "b"])
 
+        def look(values: np.ndarray) -> Iterator[pa.RecordBatch]:
+            back = 64 - starts[now // MOST_RANGES]
+            for at in range(0, len(values), 512):
+                q, match = tree.search(block := values[at : at + 512], limit)
+                other = block[q] != match
+                a.append(_turned(block[q][other], back))
+                b.append(_turned(match[other], back))
+                if sum(map(len, a)) > 200_000:
+                    yield flush()
+
+        def grown() -> Iterator[pa.RecordBatch]:
+            nonlocal tree
+            if held and tree is None:
+                tree = GrayTree(np.concatenate(held))
+                yield from look(tree.leaves)
+
         for batch in batches:
             part, asks, fp = (batch.column(i).to_numpy() for i in range(3))
             edges = np.flatnonzero((np.diff(part) != 0) | (np.diff(asks) != 0)) + 1
             for lo, hi in zip([0, *edges], [*edges, len(part)], strict=True):
+                if lo == hi:
+                    continue
                 if part[lo] != now:
-                    now, held, tree = part[lo], [], None
+                    yield from grown()
+                    now, held, tree = int(part[lo]), [], None
                 values = fp[lo:hi].view(np.uint64)
-                if not asks[lo]:
+                if asks[lo]:
+                    yield from grown()
+                    yield from look(values)
+                else:
                     held.append(values)
-                    continue
-                tree = tree or GrayTree(np.concatenate(held))
-                for at in range(0, len(values), 512):
-                    q, found = tree.search(block := values[at : at + 512], limit)
-                    other = block[q] != found
-                    a.append(block[q][other])
-                    b.append(found[other])
-                    if sum(map(len, a)) > 200_000:
-                        yield flush()
+        yield from grown()
         if a:
             yield flush()
 
