@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from frostline.config import MONTHS
+from frostline.functions.nulls import no_nan
 
 # Accepted layouts of a logger's time text, after "/" became "."; seconds are optional.
 YEAR_FIRST = r"^(\d{4})\.(\d{1,2})\.(\d{1,2}) (\d{1,2}:\d{2}(:\d{2})?)$"
@@ -31,7 +32,8 @@ def parent_folder(path: Column) -> Column:
 
 
 def parse_decimal_comma(x: Column) -> Column:
-    return F.regexp_replace(x, ",", ".").try_cast("double")
+    """Number with a decimal comma or point; NaN and infinities are null."""
+    return no_nan(F.regexp_replace(x, ",", ".").try_cast("double"))
 
 
 def normalise_time_text(x: Column) -> Column:

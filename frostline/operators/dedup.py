@@ -24,6 +24,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return _pick(df, keys, order, F.min_by)
 
 
+def measured_first(*columns: str) -> list[Column]:
+    """Order by the columns' values, where a null never comes before a value."""
+    return [o for c in columns for o in (F.col(c).isNull(), F.col(c))]
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row of each key that is largest by ``order``."""
     return _pick(df, keys, order, F.max_by)

@@ -57,9 +57,9 @@ def pmm_match(
     )
 
 
-def _predictors(wide: DataFrame, target: str, others: Sequence[str], limit: int) -> list[str]:
-    """The ``limit`` sites that correlate best with the target where both are observed."""
-    if len(others) <= limit:
+def _predictors(wide: DataFrame, target: str, others: Sequence[str], limit: int | None) -> list[str]:
+    """All other sites, or if asked the ``limit`` that correlate best with the target where both are observed."""
+    if limit is None or len(others) <= limit:
         return list(others)
     row = wide.agg(*[F.corr(target, o).alias(o) for o in others]).first().asDict()
     return sorted(others, key=lambda o: (-abs(row[o] or 0.0), o))[:limit]
@@ -72,7 +72,7 @@ def impute_forest(
     num_trees: int = 50,
     max_iter: int = 10,
     max_depth: int = 10,
-    predictors: int = 20,
+    predictors: int | None = None,
     block: int = 8,
     seed: int = 1,
     site: str = "site",
@@ -190,8 +190,8 @@ def frozen_moisture(original: DataFrame, imputed: DataFrame, t1: DataFrame) -> D
     keys = ["site", "datetime"]
     joined = (
         t1.select(*keys, "T1")
-        .join(original.select(*keys, F.col("moist").alias("_orig")), keys, "left")
-        .join(imputed.select(*keys, F.col("moist").alias("_new"), F.col("moist_imp").alias("_imp")), keys, "left")
+        .join(original.select(*keys, F.col("moist").alias("_orig")), keys, "full_outer")
+        .join(imputed.select(*keys, F.col("moist").alias("_new"), F.col("moist_imp").alias("_imp")), keys, "full_outer")
     )
     moist = F.when(F.col("T1") >= FROZEN_BELOW, F.coalesce("_new", "_orig"))
     flag = F.when(F.col("_new").isNull(), F.lit(False)).otherwise(F.col("_imp"))

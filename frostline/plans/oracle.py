@@ -741,3 +741,5 @@ add(
        (SELECT Site_id, Sensor_code, min(CASE WHEN value IS NOT NULL THEN datetime END) AS a,
         max(CASE WHEN value IS NOT NULL THEN datetime END) AS b FROM series_long GROUP BY ALL) LEFT JOIN coords c ON c.site = Site_id""",
 )
+
+ORACLE["drop_stray_minutes_default"] = ORACLE["drop_stray_minutes"].replace("0.012", "0.0001")

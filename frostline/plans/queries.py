@@ -41,7 +41,6 @@ from frostline.sources import logger_files
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-SITES = tuple(f"S{i}" for i in range(10))
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -588,6 +587,12 @@ def drop_stray_minutes(spark, d):
     return quality.drop_stray_minutes(e, share=0.012)
 
 
+@query
+def drop_stray_minutes_default(spark, d):
+    e = st.table(spark, d, "events").select((F.col("user_id") % 30).alias("tomst_id"), F.col("ts").alias("datetime"), "event_id")
+    return quality.drop_stray_minutes(e)
+
+
 @query
 def estimate_bias(spark, d):
     return bias.estimate_bias(st.readings_idle(spark, d))
@@ -684,7 +689,7 @@ def clean_t2_for_snow(spark, d):
 
 @query
 def impute_forest(spark, d):
-    return impute.impute_forest(st.readings_by_type(spark, d), "T1", EVENT_TYPES, num_trees=50, max_iter=2, max_depth=8)
+    return impute.impute_forest(st.readings_by_type(spark, d), "T1", pipelines.sites_of(st.readings_by_type(spark, d)), num_trees=50, max_iter=2, max_depth=8)
 
 
 @query

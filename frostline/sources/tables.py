@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from frostline.functions.nulls import no_nan
+
+ZONED = r"(Z|[+-]\d{2}:?\d{2})$"
+
 SCHEMAS = {
     "registry": "site string, tomst_id long, maxdt timestamp",
     "ledger": "site string, tomst_id long, start_date date, end_date date, probl int",
@@ -21,13 +25,20 @@ SCHEMAS = {
 
 
 def read_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """CSV with a header; columns are matched by name, so their order may vary. Times are UTC."""
+    """CSV with a header; columns are matched by name, so their order may vary.
+
+    Times are UTC, or in the zone their text ends with. NaN and infinities are null.
+    """
     fields = [f.strip().split() for f in SCHEMAS[kind].split(",")]
+    session_zone = spark.conf.get("spark.sql.session.timeZone")
     raw = spark.read.option("header", "true").option("nullValue", "NA").csv(path)
 
     def typed(name: str, kind: str):
         c = F.col(name)
-        return (F.to_timestamp(c) if kind == "timestamp" else c.try_cast(kind)).alias(name)
+        if kind == "timestamp":
+            utc = F.convert_timezone(F.lit("UTC"), F.lit(session_zone), c.try_cast("timestamp_ntz")).cast("timestamp")
+            return F.when(c.rlike(ZONED), c.try_cast("timestamp")).otherwise(utc).alias(name)
+        return (no_nan(c.try_cast(kind)) if kind == "double" else c.try_cast(kind)).alias(name)
 
     return raw.select(*[typed(n, k) for n, k in fields])
 
