@@ -73,24 +73,22 @@ def test_base_score(spark, odd, docs, hot):
     assert ppm.score(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("order", "cells"), [(0, 1 << 20), (2, 1 << 20), (3, 2000), (6, 1 << 20)])
-def test_ppm_against_a_plain_coder(spark, docs, order, cells):
+@pytest.mark.parametrize(("order", "hot", "block"), [(0, 1 << 21, 1 << 20), (2, 1 << 21, 1 << 20), (3, 500, 2000), (5, 1000, 3000), (6, 1 << 21, 1 << 20)])
+def test_ppm_against_a_plain_coder(spark, docs, order, hot, block):
     few = docs.orderBy("doc_id").limit(25)
-    got = {r.doc_id: r.score for r in ppm.score(few, order=order, cells=cells).collect()}
+    got = {r.doc_id: r.score for r in ppm.score(few, order=order, hot_grams=hot, block=block).collect()}
     coded = {i: b"\xff" * order + lowered(t).encode() + b"\xff" for i, t in texts_of(few)}
-    counts, total = [Counter() for _ in range(order + 1)], 0
+    counts = [Counter() for _ in range(order + 1)]
     for i, b in coded.items():
         if zlib.crc32(str(i).encode()) % 5 != 1:
             for at in range(order, len(b)):
-                total += 1
                 for k in range(order + 1):
                     counts[k][b[at - k : at + 1]] += 1
     tree = [{} for _ in counts]
     for k, c in enumerate(counts):
         for gram, n in c.items():
-            if n * cells >= total:
-                tree[k].setdefault(gram[:-1], {})[gram[-1]] = n
-    for i in list(coded)[:6]:
+            tree[k].setdefault(gram[:-1], {})[gram[-1]] = n
+    for i in [j for j in coded if j % 3 == 0 or zlib.crc32(str(j).encode()) % 5 == 1][:12]:
         b, log = coded[i], 0.0
         for at in range(order, len(b)):
             out = set()
