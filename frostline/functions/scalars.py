@@ -83,8 +83,8 @@ def middle_of_three(a: Column, b: Column, c: Column) -> Column:
 
 
 def minutes_between(later: Column, earlier: Column) -> Column:
-    """Whole minutes from ``earlier`` to ``later``."""
-    return F.timestamp_diff("MINUTE", earlier, later)
+    """Minutes from ``earlier`` to ``later``, to the second: a fraction where stamps carry seconds."""
+    return F.timestamp_diff("SECOND", earlier, later) / F.lit(60.0)
 
 
 def add_minutes(time: Column, minutes: Column | int) -> Column:

@@ -21,7 +21,7 @@ def fill_gaps(
     """Fill every gap longer than 15 minutes with rows strictly inside it.
 
     The step is 15 minutes when the step before the gap is a multiple of 15 (or the gap is the
-    first step), else 10. ``carry`` columns are down-filled; the others are null on new rows.
+    first step), else 10. Steps are taken to the second. ``carry`` columns are down-filled; the others are null on new rows.
     """
     columns = df.columns
     if carry:
@@ -29,11 +29,11 @@ def fill_gaps(
     halo = row_halo(df, keys, time, 1, 1, chunk)
     w = halo.window
     before = minutes_between(F.col(time), F.lag(time).over(w))
-    step = F.when(F.coalesce(before, F.lit(15)) % 15 == 0, F.lit(15)).otherwise(F.lit(10))
+    step = F.when(F.coalesce(before, F.lit(15.0)) % 15 == 0, F.lit(15)).otherwise(F.lit(10))
     steps = halo.df.withColumn("_following", F.lead(time).over(w)).withColumn("_step", step)
     gap = minutes_between(F.col("_following"), F.col(time))
     # Last whole step that stays strictly before the next row.
-    last = F.floor((gap - 1) / F.col("_step")).cast("int")
+    last = (F.ceil(gap / F.col("_step")) - 1).cast("int")
     offsets = F.when((gap > 15) & (last >= 1), F.sequence(F.lit(0), last)).otherwise(F.array(F.lit(0)))
     filled = halo.own(steps).select(
         *columns, "_step", F.explode(offsets).alias("_k")

@@ -46,7 +46,7 @@ def interpolate_short_gaps(
 
 
 def step_sizes(df: DataFrame, site: str = "site", time: str = "datetime", chunk: Column | None = None) -> DataFrame:
-    """Distinct steps (minutes) per site, with how often each occurs."""
+    """Distinct steps (minutes, fractions for seconds) per site, with how often each occurs."""
     halo = row_halo(df.select(site, time), [site], time, 1, 0, chunk)
     steps = halo.own(halo.df.withColumn("step", minutes_between(F.col(time), F.lag(time).over(halo.window))))
     return steps.filter("step is not null").groupBy(site, "step").agg(F.count(F.lit(1)).alias("n"))

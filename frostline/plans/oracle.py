@@ -244,19 +244,19 @@ add(
 )
 add(
     "temporal_resolution",
-    "tomst_id:i,Temporal_resolution:i,modal_step:i",
+    "tomst_id:i,Temporal_resolution:d,modal_step:d",
     """SELECT tomst_id, max(CASE WHEN a = 1 THEN step END) AS Temporal_resolution, max(CASE WHEN b = 1 THEN step END) AS modal_step FROM
        (SELECT *, row_number() OVER (PARTITION BY tomst_id ORDER BY n, step) AS a,
         row_number() OVER (PARTITION BY tomst_id ORDER BY n DESC, step) AS b FROM
         (SELECT tomst_id, step, count(*) AS n FROM (SELECT tomst_id,
-         date_diff('minute', lag(datetime) OVER (PARTITION BY tomst_id ORDER BY datetime), datetime) AS step FROM rl)
+         date_diff('second', lag(datetime) OVER (PARTITION BY tomst_id ORDER BY datetime), datetime) / 60.0 AS step FROM rl)
          WHERE step IS NOT NULL GROUP BY ALL)) GROUP BY tomst_id""",
 )
 add(
     "step_sizes",
-    "site:s,step:i,n:i",
+    "site:s,step:d,n:i",
     """SELECT site, step, count(*) AS n FROM (SELECT site,
-       date_diff('minute', lag(datetime) OVER (PARTITION BY site ORDER BY datetime), datetime) AS step FROM rh)
+       date_diff('second', lag(datetime) OVER (PARTITION BY site ORDER BY datetime), datetime) / 60.0 AS step FROM rh)
        WHERE step IS NOT NULL GROUP BY ALL""",
 )
 # --------------------------------------------------------------- windows
@@ -394,16 +394,16 @@ add("dense_grid", "site:s,datetime:t,T1:d,moist:d,T1_imp:b,moist_imp:b", GRID)
 # -------------------------------------------------------------- cleaning
 def filled(table: str, key: str, carried: list[str], blank: list[str]) -> str:
     columns = ", ".join([f"CASE WHEN k = 0 THEN {c} END AS {c}" for c in blank])
-    carry = ", ".join(
+    carry = [
         f"last_value({c} IGNORE NULLS) OVER (PARTITION BY {key} ORDER BY datetime ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}"
         for c in carried
-    )
-    return f"""SELECT {key}, {', '.join(carried)}, datetime + to_minutes(CAST(k * step AS BIGINT)) AS datetime, {columns} FROM
+    ]
+    return f"""SELECT {', '.join([key, *carried])}, datetime + to_minutes(CAST(k * step AS BIGINT)) AS datetime, {columns} FROM
       (SELECT *, unnest(CASE WHEN gap > 15 THEN generate_series(0, CAST(ceil(gap / step::DOUBLE) - 1 AS BIGINT)) ELSE [0] END) AS k FROM
        (SELECT *, CASE WHEN coalesce(prev, 15) % 15 = 0 THEN 15 ELSE 10 END AS step FROM
-        (SELECT {key}, datetime, {carry}, {', '.join(blank)},
-         date_diff('minute', lag(datetime) OVER (PARTITION BY {key} ORDER BY datetime), datetime) AS prev,
-         date_diff('minute', datetime, lead(datetime) OVER (PARTITION BY {key} ORDER BY datetime)) AS gap FROM {table})))"""
+        (SELECT {', '.join([key, 'datetime', *carry, *blank])},
+         date_diff('second', lag(datetime) OVER (PARTITION BY {key} ORDER BY datetime), datetime) / 60.0 AS prev,
+         date_diff('second', datetime, lead(datetime) OVER (PARTITION BY {key} ORDER BY datetime)) / 60.0 AS gap FROM {table})))"""
 
 
 VALUES = list(SENSORS)
@@ -413,6 +413,15 @@ add(
     filled("rl", "tomst_id", ["site", "probl"], VALUES),
 )
 add("fill_gaps_site", HF, filled("rh", "site", ["tomst_id", "error_tomst"], VALUES))
+CTES["exact"] = "SELECT user_id, date_trunc('second', ts)::TIMESTAMP AS datetime, max(value) AS value FROM events GROUP BY ALL"
+add("fill_gaps_seconds", "user_id:i,datetime:t,value:d", filled("exact", "user_id", [], ["value"]))
+add(
+    "step_sizes_seconds",
+    "user_id:i,step:d,n:i",
+    """SELECT user_id, step, count(*) AS n FROM (SELECT user_id,
+       date_diff('second', lag(datetime) OVER (PARTITION BY user_id ORDER BY datetime), datetime) / 60.0 AS step FROM exact)
+       WHERE step IS NOT NULL GROUP BY ALL""",
+)
 add(
     "drop_stray_minutes",
     "tomst_id:i,datetime:t,event_id:i",
@@ -472,7 +481,7 @@ def regular(table: str, sensors: tuple[str, ...]) -> str:
 def plan(table: str) -> str:
     return f"""SELECT site, min(datetime) AS t0, max(datetime) AS t1,
         coalesce(count(DISTINCT step) > 1 OR bool_or(step = 10), false) AS mixed
-        FROM (SELECT site, datetime, date_diff('minute', lag(datetime) OVER (PARTITION BY site ORDER BY datetime), datetime) AS step
+        FROM (SELECT site, datetime, date_diff('second', lag(datetime) OVER (PARTITION BY site ORDER BY datetime), datetime) / 60.0 AS step
         FROM {table}) GROUP BY site"""
 
 
@@ -689,7 +698,7 @@ add(
     "Experiment_citizens:s,Experiment_design:s,Experiment_doi:s,Experiment_comment:s,Site_id:s,Elevation:d,Habitat_type:i,"
     "Habitat_sub_type:i,Site_comments:s,Logger_code:i,Raw_data_identifier:i,Latitude:d,Longitude:d,EPSG:i,GPS_accuracy:i,"
     "Logger_serial_number:i,Logger_brand:s,Logger_type:s,Logger_age:i,Logger_comment:s,Sensor_code:s,Sensor_shielding:s,"
-    "Sensor_shielding_type:s,Microclimate_measurement:s,Unit:s,Sensor_accuracy:d,Temporal_resolution:i,Sensor_height:d,"
+    "Sensor_shielding_type:s,Microclimate_measurement:s,Unit:s,Sensor_accuracy:d,Temporal_resolution:d,Sensor_height:d,"
     "Sensor_length:d," + PARTS + ",Timezone:s,Time_difference:i,Licence:s,Sensor_comments:s,Species_composition:s,Species_trait:s",
     """SELECT row_number() OVER (ORDER BY s.Site_id, s.Raw_data_identifier, s.Sensor_code) AS meta_id, 'NO' AS Country_code,
        'Test' AS Experiment_name, 'No' AS Experimental_manipulation, 'Yes' AS Experiment_insitu, 'No' AS Experiment_climate,
@@ -707,8 +716,7 @@ add(
        'CC-BY' AS Licence, '' AS Sensor_comments, 'Yes' AS Species_composition, 'Yes' AS Species_trait
        FROM spans s LEFT JOIN coords c ON c.site = s.Site_id LEFT JOIN
        (SELECT Raw_data_identifier, arg_min(step, (n, step)) AS Temporal_resolution FROM
-        (SELECT Raw_data_identifier, step, count(*) AS n FROM (SELECT Raw_data_identifier, date_diff('minute',
-         lag(datetime) OVER (PARTITION BY Raw_data_identifier ORDER BY datetime), datetime) AS step FROM series)
+        (SELECT Raw_data_identifier, step, count(*) AS n FROM (SELECT Raw_data_identifier, date_diff('second', lag(datetime) OVER (PARTITION BY Raw_data_identifier ORDER BY datetime), datetime) / 60.0 AS step FROM series)
          WHERE step IS NOT NULL GROUP BY ALL) GROUP BY ALL) f ON f.Raw_data_identifier = s.Raw_data_identifier""",
 )
 add(

@@ -581,6 +581,16 @@ def fill_gaps_site(spark, d):
     return gaps.fill_gaps_site(st.readings_hf(spark, d))
 
 
+@query
+def fill_gaps_seconds(spark, d):
+    return gaps.fill_gaps(st.readings_exact(spark, d), ["user_id"])
+
+
+@query
+def step_sizes_seconds(spark, d):
+    return resample.step_sizes(st.readings_exact(spark, d), "user_id")
+
+
 @query
 def drop_stray_minutes(spark, d):
     e = st.table(spark, d, "events").select((F.col("user_id") % 30).alias("tomst_id"), F.col("ts").alias("datetime"), "event_id")

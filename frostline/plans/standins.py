@@ -86,6 +86,12 @@ def readings_logger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def readings_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of every user at the second they were taken; series grow in number with the events."""
+    e = table(spark, sf_dir, "events").select("user_id", F.date_trunc("second", "ts").cast("timestamp_ntz").alias("datetime"), "value")
+    return e.groupBy("user_id", "datetime").agg(F.max("value").alias("value"))
+
+
 def readings_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """15-minute means of five sites, one per event type."""
     e = table(spark, sf_dir, "events").select(

@@ -36,6 +36,13 @@ def test_gap_fill_steps(series, minutes, expected):
     assert sum(v is not None for v in column(out, "T1")) == len(minutes)
 
 
+def test_gap_fill_with_seconds(series):
+    stamps = [f"2024-01-01 {t}" for t in ("00:00:00", "00:15:00", "00:45:30", "01:01:15")]
+    out = gaps.fill_gaps_site(series([1, 2, 3, 4], stamps=stamps))
+    got = [t.strftime("%H:%M:%S") for t in column(out, "datetime")]
+    assert got == ["00:00:00", "00:15:00", "00:30:00", "00:45:00", "00:45:30", "00:55:30", "01:01:15"]
+
+
 def test_gap_fill_across_chunks_leaves_no_gap(series):
     df = series([1, 2, 3], stamps=["2024-01-01 23:45", "2024-01-05 00:00", "2024-01-05 00:15"], error_tomst=[1, None, 2])
     out = gaps.fill_gaps_site(df, chunk=chunks.time_chunk("datetime", 1))
