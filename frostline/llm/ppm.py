@@ -27,9 +27,11 @@ from frostline.session import stage
 
 ORDER = 5
 NEAR = 3  # depths below it are shared: 2^24 cells at most; a part of the trie has 256^(order + 1 - NEAR), 2^24 at order 5
-BLOCK = 1 << 20  # parts are priced together up to so many grams
+BLOCK = 1 << 18  # parts are priced together up to so many grams
 HOT_GRAMS = 1 << 21  # grams that hold at least so small a share of all coded bytes are looked up in the task: that many at most
 HOT = 1 << 18  # words that hold at least so small a share of all tokens are looked up in the task: HOT of them at most
+TEXT_BYTES = 2 << 20  # of texts looked at together
+ROWS_OUT = 1 << 16  # of a batch handed to Spark
 KEY_BYTES = 32  # longer words are known by a digest
 EDGE = 0xFF  # never occurs in UTF-8: stands before a text, as often as contexts are long, and once after it
 
@@ -94,10 +96,12 @@ def corpus_counts(docs: DataFrame, order: int, folds: int) -> DataFrame:
             total = np.array([v[1] for v in pending.values()], dtype=np.int64)
             return rows_of(0, pa.array(list(pending), pa.binary()), None, train, total)
 
-        def grams_out(marked: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-            return rows_of(1, None, marked >> np.uint64(1), np.where(marked & np.uint64(1), 0, c), c)
+        def grams_out(marked: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(marked), ROWS_OUT):
+                g, n = marked[at : at + ROWS_OUT], c[at : at + ROWS_OUT]
+                yield rows_of(1, None, g >> np.uint64(1), np.where(g & np.uint64(1), 0, n), n)
 
-        for b in pieces(batches):
+        for b in pieces(batches, limit=TEXT_BYTES):
             held = b.column("held").to_numpy(zero_copy_only=False)
             text = b.column("text")
             rows, codes, words = coded_words(text)
@@ -122,17 +126,17 @@ def corpus_counts(docs: DataFrame, order: int, folds: int) -> DataFrame:
             kept.append(marked[first])
             counts.append(np.diff(np.append(first, len(marked))))
             size += len(first)
-            if size > 4_000_000:
+            if size > 2_000_000:
                 g, c = merged()
                 kept[:], counts[:], size = [g], [c], 0
-                if len(g) > 2_000_000:
-                    yield grams_out(g, c)
+                if len(g) > 1_000_000:
+                    yield from grams_out(g, c)
                     kept.clear()
                     counts.clear()
         if pending:
             yield words_out()
         if kept:
-            yield grams_out(*merged())
+            yield from grams_out(*merged())
 
     inputs = docs.select(F.col("text").cast("string").alias("text"), (fold("doc_id", folds) == 1).alias("held"))
     partial = inputs.mapInArrow(run, "kind int, word binary, gram long, train long, total long")
@@ -322,7 +326,7 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = 5, hot: int = HOT, h
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = table.value
-        for b in pieces(batches):
+        for b in pieces(batches, limit=TEXT_BYTES):
             text, m = b.column("text"), b.num_rows
             rows, codes, vocabulary = coded_words(text)
             keys = _word_keys(vocabulary)
@@ -353,12 +357,17 @@ def score(docs: DataFrame, order: int = ORDER, folds: int = 5, hot: int = HOT, h
                 rest = [pa.nulls(k, b.column("doc_id").type), pa.nulls(k, pa.bool_()), *[pa.nulls(k, pa.int64())] * 2, *[pa.nulls(k, pa.float64())] * 2]
                 return pa.RecordBatch.from_arrays([ids.take(pa.array(row)), key, pa.array(gram), pa.array(times), *rest], names)
 
-            yield sent(row, far, np.zeros(len(row), np.int64), times)
+            for at in range(0, len(row), ROWS_OUT):
+                cut = slice(at, at + ROWS_OUT)
+                yield sent(row[cut], far[cut], np.zeros(len(row[cut]), np.int64), times[cut])
             row, gram = np.repeat(np.arange(m), np.diff(begin))[~priced_here], gram[~priced_here]
             by = np.lexsort((gram, row))
             row, gram = row[by], gram[by]
             one = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])])) if len(row) else by
-            yield sent(row[one], pa.array([b""] * len(one), pa.binary()), gram[one].view(np.int64), np.diff(np.append(one, len(row))))
+            times = np.diff(np.append(one, len(row)))
+            for at in range(0, len(one), ROWS_OUT):
+                cut = one[at : at + ROWS_OUT]
+                yield sent(row[cut], pa.array([b""] * len(cut), pa.binary()), gram[cut].view(np.int64), times[at : at + ROWS_OUT])
 
     inputs = docs.select("doc_id", F.col("text").cast("string").alias("text"), (fold("doc_id", folds) == 1).alias("held"), F.monotonically_increasing_id().alias("row"))
     found = inputs.mapInArrow(run, f"row long, key binary, gram long, n long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, counted double, score double")
