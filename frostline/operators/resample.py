@@ -178,11 +178,7 @@ def dense_grid(
     rows = df.select(site, time, *values)
     if drop_null:
         rows = rows.filter(F.coalesce(*values).isNotNull())
-    stamps = (
-        rows.select(F.to_date(time).alias("_day"), F.col(time))
-        .groupBy("_day")
-        .agg(F.collect_set(time).alias("_stamps"))  # distinct stamps of one day
-    )
+    stamps = rows.select(F.to_date(time).alias("_day"), F.col(time)).distinct()
     days = stamps.agg(F.min("_day").alias("a"), F.max("_day").alias("b"))
     sites = rows.select(site).distinct()
     grid = (
@@ -190,7 +186,7 @@ def dense_grid(
             site, F.explode(F.sequence(days.select("a").scalar(), days.select("b").scalar())).alias("_day")
         )
         .join(stamps, "_day")
-        .select(site, F.explode("_stamps").alias(time))
+        .select(site, time)
     )
     dense = grid.join(rows, [site, time], "left")
     return dense.select(site, time, *values, *[F.col(v).isNull().alias(f"{v}_imp") for v in values])
