@@ -108,6 +108,12 @@ def test_ppm_against_a_plain_coder(spark, docs, order, hot, block):
         assert got[i] == pytest.approx(log, abs=1e-6)
 
 
+def test_held_out_texts_are_likelier_than_under_the_base_model(spark):
+    got = ppm.score(spark.read.parquet(f"{ROOT}/sf0.1/documents.parquet"), hot_grams=1 << 17).where("held_out")
+    score, base = got.agg(F.sum("score"), F.sum("base_score")).first()
+    assert score > base
+
+
 # classifiers --------------------------------------------------------------------------------------------------------
 
 
