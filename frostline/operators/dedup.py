@@ -29,6 +29,18 @@ def measured_first(*columns: str) -> list[Column]:
     return [o for c in columns for o in (F.col(c).isNull(), F.col(c))]
 
 
+def first_reading(
+    readings: DataFrame, keys: Sequence[str] = ("tomst_id", "datetime"), sensors: Sequence[str] = ("T1", "T2", "T3", "moist")
+) -> DataFrame:
+    """One reading per logger and time: of those that measured anything the first by file and row.
+
+    Without the columns ``path`` and ``row`` the smallest reading counts, and a null never comes before a value.
+    """
+    if {"path", "row"} <= set(readings.columns):
+        return keep_first(readings, keys, [F.coalesce(*sensors).isNull(), F.col("path"), F.col("row")]).drop("path", "row")
+    return keep_first(readings, keys, measured_first(*sensors, *[c for c in ("zone",) if c in readings.columns]))
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row of each key that is largest by ``order``."""
     return _pick(df, keys, order, F.max_by)

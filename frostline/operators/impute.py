@@ -8,18 +8,28 @@ from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from frostline.operators.chunks import carry
+from frostline.operators.chunks import carry, row_halo
 from frostline.operators.quality import timestamp_coverage
 from frostline.operators.reshape import pivot_sites
 from frostline.operators.resample import dense_grid
-from frostline.session import stage
+from frostline.session import stage, unstage
 
 FROZEN_BELOW = 1.0
 
 
+def _nearby(donors: DataFrame, keys: Sequence[str], prediction: str, k: int, block: Column) -> DataFrame:
+    """Per distinct prediction with donors: lists of the donors of the ``k`` predictions up to it and from it on."""
+    if k == 1:
+        return donors.select(*keys, prediction, F.col("_donors").alias("_low"), F.col("_donors").alias("_high"))
+    halo = row_halo(donors, keys, prediction, k - 1, k - 1, block)
+    low = F.flatten(F.collect_list("_donors").over(halo.frame(k - 1, 0)))
+    high = F.flatten(F.collect_list("_donors").over(halo.frame(0, k - 1)))
+    return halo.own(halo.df.withColumns({"_low": low, "_high": high})).select(*keys, prediction, "_low", "_high")
+
+
 def pmm_match(
     df: DataFrame,
     prediction: str = "prediction",
@@ -27,65 +37,67 @@ def pmm_match(
     time: str = "datetime",
     keys: Sequence[str] = (),
     width: float = 0.5,
+    k: int = 1,
+    seed: int = 0,
 ) -> DataFrame:
-    """Give every row without ``observed`` the observed value whose prediction is nearest.
+    """Give every row without ``observed`` the observed value of one of the ``k`` donors whose predictions are nearest.
 
-    Ties go to the earlier donor. Donors are first reduced to one per distinct prediction, then
-    looked up in both directions along the prediction, which is cut into blocks of ``width``.
-    The result has all rows, with the match (or the own observation) as ``matched``.
+    Nearest comes first, then the earlier donor; a hash of ``seed`` and the row's time draws one of them, the same in
+    every run. Donors are first reduced to the ``k`` earliest of each distinct prediction, then looked up in both
+    directions along the prediction, which is cut into blocks of ``width``. The result has all rows, with the match (or
+    the own observation) as ``matched``.
     """
     keys = list(keys)
-    donor = F.struct(F.col(time).alias("t"), F.col(prediction).alias("p"), F.col(observed).alias("v"))
-    present = F.when(F.col(observed).isNotNull(), F.col(time))
-    distinct = df.groupBy(*keys, prediction).agg(F.min_by(donor, present).alias("_donor"))
-    distinct = distinct.withColumn("_donor", F.when(F.col("_donor.v").isNotNull(), F.col("_donor")))
     block = F.floor(F.col(prediction) / F.lit(width)).cast("long")
-    donors = F.col("_donor")
-    near = carry(distinct, keys, prediction, {"_below": donors}, {"_above": donors}, block)
-    below = F.col(prediction) - F.col("_below.p")
-    above = F.col("_above.p") - F.col(prediction)
-    take_above = (
-        F.col("_below").isNull() | (above < below) | ((above == below) & (F.col("_above.t") < F.col("_below.t")))
-    )
-    picked = near.select(
-        *keys,
-        prediction,
-        F.when(take_above & F.col("_above").isNotNull(), F.col("_above.v")).otherwise(F.col("_below.v")).alias("_pick"),
+    place = F.row_number().over(Window.partitionBy(*keys, prediction).orderBy(time, observed))
+    few = df.filter(F.col(observed).isNotNull()).withColumn("_place", place).filter(F.col("_place") <= k)
+    donor = F.struct(F.col(time).alias("t"), F.col(prediction).alias("p"), F.col(observed).alias("v"))
+    donors = few.groupBy(*keys, prediction).agg(F.collect_list(donor).alias("_donors"))  # k at most
+    lists = _nearby(donors, keys, prediction, k, block)
+    distinct = df.select(*keys, prediction).distinct()
+    same = [distinct[c].eqNullSafe(lists[c]) for c in (*keys, prediction)]
+    both = distinct.join(lists, same, "left").select(*[distinct[c] for c in (*keys, prediction)], "_low", "_high")
+    near = carry(both, keys, prediction, {"_below": F.col("_low")}, {"_above": F.col("_high")}, block)
+    empty = F.array().cast(lists.schema["_low"].dataType)
+    found = F.array_distinct(F.concat(F.coalesce("_below", empty), F.coalesce("_above", empty)))
+    ranked = F.array_sort(
+        F.transform(found, lambda c: F.struct(F.abs(c["p"] - F.col(prediction)).alias("d"), c["t"].alias("t"), c["v"].alias("v")))
     )
-    return df.join(picked, [*keys, prediction], "left").select(
-        *df.columns, F.coalesce(F.col(observed), F.col("_pick")).alias("matched")
+    picks = near.select(*keys, prediction, F.slice(ranked, 1, k).alias("_picks"))
+    stamp = F.concat(F.lit(f"{seed} "), F.date_format(time, "yyyy-MM-dd HH:mm:ss"))
+    draw = F.conv(F.substring(F.md5(stamp.cast("binary")), 1, 8), 16, 10).cast("long")
+    one = F.get("_picks", F.pmod(draw, F.greatest(F.size("_picks"), F.lit(1))).cast("int"))["v"]
+    return df.join(picks, [*keys, prediction], "left").select(
+        *df.columns, F.coalesce(F.col(observed), one).alias("matched")
     )
 
 
-def _predictors(wide: DataFrame, target: str, others: Sequence[str], limit: int | None) -> list[str]:
-    """All other sites, or if asked the ``limit`` that correlate best with the target where both are observed."""
-    if limit is None or len(others) <= limit:
-        return list(others)
-    row = wide.agg(*[F.corr(target, o).alias(o) for o in others]).first().asDict()
-    return sorted(others, key=lambda o: (-abs(row[o] or 0.0), o))[:limit]
+HELD = 10  # one of so many observed cells of a site is held out of its forest, to judge the pass
+LEAST_OBSERVED = 20  # sites with fewer are judged on the cells they learn from
 
 
 def impute_forest(
     df: DataFrame,
     value: str,
     sites: Sequence[str],
-    num_trees: int = 50,
+    num_trees: int = 100,
     max_iter: int = 10,
-    max_depth: int = 10,
-    predictors: int | None = None,
-    block: int = 8,
+    max_depth: int = 30,
+    donors: int = 3,
     seed: int = 1,
     site: str = "site",
     time: str = "datetime",
     width: float = 0.5,
+    leaf: int = 5,
+    parallel: int = 8,
 ) -> DataFrame:
-    """Impute ``value`` per site from time, day of year, hour and the best correlated sites.
+    """Impute ``value`` per site from time, day of year, hour and all other sites.
 
-    Sites are visited by rising number of nulls, ``block`` at a time: the forests of a block are
-    grown side by side by MLlib, then their sites are filled together (``block=1`` visits one site
-    after the other). Passes repeat until the error on the observed values stops falling. The table
-    is staged after each block, so lost executors cost one block at most. Returns (site, time,
-    value, <value>_imp) on the dense grid of ``sites``.
+    In a pass a forest per site with nulls learns from the table of the pass before (means at first), then all sites are
+    filled by matching with ``donors`` donors and the table is written once. Passes repeat until the error on held-out
+    observed cells stops falling, ``max_iter`` times at most; the table of the best pass counts. Leaves hold ``leaf`` cells at
+    least; ``parallel`` forests are grown side by side, which changes no result. Lost executors cost one pass at most. Returns (site, time, value,
+    <value>_imp) on the dense grid of ``sites``; a site without any observation stays null.
     """
     ids = {s: i for i, s in enumerate(sites)}
     base = pivot_sites(df.select(site, time, value), value, sites, site, time)
@@ -107,61 +119,70 @@ def impute_forest(
             for name, f in (("count", F.count), ("mean", F.avg), ("var", F.var_pop))
         ],
     ).first()
-    seen = {s: stats[f"count_{i}"] for s, i in ids.items()}
-    targets = sorted((s for s in sites if 0 < seen[s] < stats["n"]), key=lambda s: (-seen[s], s))
-    usable = [s for s in sites if seen[s] > 0]
-    chosen = {
-        s: _predictors(base, f"o_{ids[s]}", [f"o_{ids[o]}" for o in usable if o != s], predictors) for s in targets
-    }
-    current = base.withColumns({f"x_{i}": F.coalesce(f"o_{i}", F.lit(stats[f"mean_{i}"])) for i in ids.values()})
-    current = stage(current) if targets else current
+    usable = [i for i in ids.values() if stats[f"count_{i}"] > 0]
+    targets = [i for i in usable if stats[f"count_{i}"] < stats["n"]]
 
-    def features(table: DataFrame, s: str) -> DataFrame:
-        inputs = ["f_time", "f_yd", "f_hour", *[c.replace("o_", "x_") for c in chosen[s]]]
-        return VectorAssembler(inputCols=inputs, outputCol=f"_features_{ids[s]}").transform(table)
+    def held(i: int) -> Column:
+        """Observed cells that the site's forest does not see."""
+        if stats[f"count_{i}"] < LEAST_OBSERVED:
+            return F.lit(False)
+        return F.pmod(F.xxhash64(F.lit(seed), F.col(time), F.lit(i)), F.lit(HELD)) == 0
 
-    def fit(table: DataFrame, s: str):
-        i = ids[s]
+    def features(table: DataFrame, i: int) -> DataFrame:
+        inputs = ["f_time", "f_yd", "f_hour", *[f"x_{j}" for j in usable if j != i]]
+        return VectorAssembler(inputCols=inputs, outputCol=f"_features_{i}").transform(table)
+
+    def fit(table: DataFrame, i: int):
         forest = RandomForestRegressor(
             featuresCol=f"_features_{i}",
             labelCol=f"o_{i}",
             predictionCol=f"p_{i}",
             numTrees=num_trees,
             maxDepth=max_depth,
+            maxBins=64,
+            minInstancesPerNode=leaf,
+            featureSubsetStrategy="sqrt",
             seed=seed,
         )
-        return forest.fit(features(table, s).filter(F.col(f"o_{i}").isNotNull()))
+        return forest.fit(features(table, i).filter(F.col(f"o_{i}").isNotNull() & ~held(i)))
+
+    def predictions(table: DataFrame, group: Sequence[int]) -> DataFrame:
+        """``i, p, o, judged`` of every cell of some sites."""
+        with ThreadPoolExecutor(len(group)) as pool:
+            models = list(pool.map(lambda i: fit(table, i), group))
+        out = table
+        for i, model in zip(group, models, strict=True):
+            out = model.transform(features(out, i)).drop(f"_features_{i}")
+        cells = [
+            F.struct(
+                F.lit(i).alias("i"),
+                F.col(f"p_{i}").alias("p"),
+                F.col(f"o_{i}").alias("o"),
+                (F.col(f"o_{i}").isNotNull() & (F.lit(stats[f"count_{i}"] < LEAST_OBSERVED) | held(i))).alias("judged"),
+            )
+            for i in group
+        ]
+        return stage(out.select(time, F.inline(F.array(*cells))))
 
-    best, best_error = current, None
+    def filled(source: dict[int, Column]) -> list[Column]:
+        means = {i: F.lit(stats[f"mean_{i}"]) for i in ids.values()}
+        return [F.coalesce(F.col(f"o_{i}"), source.get(i, means[i])).alias(f"x_{i}") for i in ids.values()]
+
+    best, best_error = stage(base.select("*", *filled({}))), None
     for _ in range(max_iter if targets else 0):
-        error = 0.0
-        for start in range(0, len(targets), block):
-            group = targets[start : start + block]
-            with ThreadPoolExecutor(len(group)) as pool:
-                models = list(pool.map(lambda s: fit(current, s), group))
-            predicted = current
-            for s, model in zip(group, models):
-                predicted = model.transform(features(predicted, s)).drop(f"_features_{ids[s]}")
-            cells = F.array(
-                *[
-                    F.struct(F.lit(ids[s]).alias("i"), F.col(f"p_{ids[s]}").alias("p"), F.col(f"o_{ids[s]}").alias("o"))
-                    for s in group
-                ]
-            )
-            long = stage(predicted.select(time, F.inline(cells)))
-            misses = long.groupBy("i").agg(F.avg(F.pow(F.col("p") - F.col("o"), 2)).alias("e")).collect()
-            error += sum(r["e"] / (stats[f"var_{r['i']}"] or 1.0) for r in misses)
-            matched = pmm_match(long, "p", "o", time, ["i"], width)
-            wide = matched.groupBy(time).pivot("i", [ids[s] for s in group]).agg(F.first("matched"))
-            fresh = {f"x_{ids[s]}" for s in group}
-            current = stage(
-                current.drop(*fresh).join(
-                    wide.select(time, *[F.col(f"`{ids[s]}`").alias(f"x_{ids[s]}") for s in group]), time
-                )
-            )
+        parts = [predictions(best, targets[at : at + parallel]) for at in range(0, len(targets), parallel)]
+        long = reduce(DataFrame.unionByName, parts)
+        misses = long.filter("judged").groupBy("i").agg(F.avg(F.pow(F.col("p") - F.col("o"), 2)).alias("e")).collect()
+        error = sum(r["e"] / (stats[f"var_{r['i']}"] or 1.0) for r in misses)
         if best_error is not None and error >= best_error:
             break
-        best, best_error = current, error
+        matched = pmm_match(long.drop("judged"), "p", "o", time, ["i"], width, donors, seed)
+        wide = matched.groupBy(time).pivot("i", targets).agg(F.first("matched"))
+        wide = wide.select(time, *[F.col(f"`{i}`").alias(f"m_{i}") for i in targets])
+        fresh = stage(base.join(wide, time).select(*base.columns, *filled({i: F.col(f"m_{i}") for i in targets})))
+        for old in (best, *parts):
+            unstage(old)
+        best, best_error = fresh, error
     out = F.array(
         *[
             F.struct(F.lit(s).alias(site), F.col(f"x_{i}").alias(value), F.col(f"o_{i}").isNull().alias(f"{value}_imp"))

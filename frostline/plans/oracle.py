@@ -338,6 +338,15 @@ add(
     "site:s,date:D,moist:d",
     "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY site, year ORDER BY date) AS k FROM from_start) WHERE k <= 14",
 )
+add(
+    "dedup_readings",
+    "tomst_id:i,datetime:t,T1:d,T2:d,T3:d,moist:d",
+    """SELECT * FROM (SELECT user_id % 30 AS tomst_id, time_bucket(INTERVAL 15 MINUTES, ts) AS datetime, event_id % 4 = 0 AS bare,
+        2024 - event_id % 3 AS year, event_id, CASE WHEN event_id % 4 <> 0 AND event_id % 5 <> 0 THEN value / 8 END AS T1,
+        CASE WHEN event_id % 4 <> 0 THEN value / 4 END AS T2, CASE WHEN event_id % 4 <> 0 AND event_id % 3 <> 0 THEN value / 2 END AS T3,
+        CASE WHEN event_id % 4 <> 0 AND event_id % 7 <> 0 THEN value * 20 END AS moist FROM events)
+       QUALIFY row_number() OVER (PARTITION BY tomst_id, datetime ORDER BY bare, year, event_id) = 1""",
+)
 add("dedup_keep_first", HF, "SELECT * FROM rh")
 add(
     "merge_archive",
@@ -563,6 +572,23 @@ add(
          WHERE event_id % 7 = 0 GROUP BY ALL) d ON d.event_type = q.event_type AND q.observed IS NULL)
        GROUP BY event_id, observed""",
 )
+add(
+    "pmm_match_draw",
+    "event_id:i,matched:d",
+    """SELECT event_id, coalesce(observed, vs[1 + h % len(vs)]) AS matched FROM
+       (SELECT q.event_id, q.observed, q.h, list(d.v ORDER BY abs(d.p - q.p), d.t, d.v)[1:3] AS vs FROM
+        (SELECT event_id, event_type, floor(value * 2) / 2 AS p, CASE WHEN event_id % 7 = 0 THEN value END AS observed,
+         CAST('0x' || substr(md5('5 ' || strftime(ts, '%Y-%m-%d %H:%M:%S')), 1, 8) AS BIGINT) AS h FROM events) q
+        LEFT JOIN (SELECT event_type, floor(value * 2) / 2 AS p, ts AS t, value AS v FROM events WHERE event_id % 7 = 0) d
+         ON d.event_type = q.event_type AND q.observed IS NULL
+        GROUP BY q.event_id, q.observed, q.h)""",
+)
+add(
+    "impute_invariants",
+    "site:s,n:i,n_imputed:i,n_null:i,kept:d,n_invented:i",
+    """SELECT site, (SELECT count(DISTINCT datetime) FROM rt) AS n, (SELECT count(DISTINCT datetime) FROM rt) - count(T1) AS n_imputed,
+       0 AS n_null, sum(T1) AS kept, 0 AS n_invented FROM rt GROUP BY site""",
+)
 CTES["grid"] = GRID
 add(
     "frozen_moisture",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from frostline.config import AREAS, ERROR_CODES, PEAK_RULES, PLAUSIBLE, SENSORS, Area
 from frostline.operators.bias import apply_bias
-from frostline.operators.dedup import keep_first, measured_first, merge_archive
+from frostline.operators.dedup import first_reading, keep_first, measured_first, merge_archive
 from frostline.operators.gaps import fill_gaps_logger, fill_gaps_site
 from frostline.operators.impute import impute_forest, impute_series
 from frostline.operators.ledger import drop_not_in_field, label_errors
@@ -37,7 +37,7 @@ def raw_table(
     ``registry`` is the reading-time registry, or the site map for areas that use one.
     """
     area = AREAS[area] if isinstance(area, str) else area
-    df = keep_first(readings, ["tomst_id", "datetime"], measured_first(*SENSORS, "zone"))
+    df = first_reading(readings)
     df = assign_site(df, registry) if area.site_source == "registry" else assign_site_from_map(df, registry)
     df = plausible_dates(df.filter("site is not null"), area.first_day, area.last_day)
     df = stage(fill_gaps_logger(stage(label_errors(df, ledger)), chunk=chunk))

@@ -491,6 +491,24 @@ def first_k_days(spark, d):
     return moisture.first_days(_season(spark, d, until_end=False), 14).select("site", "date", "moist")
 
 
+@query
+def dedup_readings(spark, d):
+    """Yearly downloads overlap: a logger's stamp comes in up to three files, some rows without values."""
+    e, i = st.table(spark, d, "events"), F.col("event_id")
+    empty = F.col("event_id") % 4 == 0
+    rows = e.select(
+        (F.col("user_id") % 30).alias("tomst_id"),
+        st.slot(F.col("ts"), 15).alias("datetime"),
+        F.concat(F.lit("/in/"), (2024 - i % 3).cast("string"), F.lit("/data.csv")).alias("path"),
+        i.alias("row"),
+        F.when(~empty & (i % 5 != 0), F.col("value") / 8).alias("T1"),
+        F.when(~empty, F.col("value") / 4).alias("T2"),
+        F.when(~empty & (i % 3 != 0), F.col("value") / 2).alias("T3"),
+        F.when(~empty & (i % 7 != 0), F.col("value") * 20).alias("moist"),
+    )
+    return dedup.first_reading(rows)
+
+
 @query
 def dedup_keep_first(spark, d):
     return st.readings_hf(spark, d)
@@ -699,11 +717,30 @@ def clean_t2_for_snow(spark, d):
 
 @query
 def impute_forest(spark, d):
-    return impute.impute_forest(st.readings_by_type(spark, d), "T1", pipelines.sites_of(st.readings_by_type(spark, d)), num_trees=50, max_iter=2, max_depth=8)
+    rows = st.readings_by_type(spark, d)
+    return impute.impute_forest(rows, "T1", pipelines.sites_of(rows))
+
+
+@query
+def impute_invariants(spark, d):
+    """Per site of ``impute_forest``: rows, imputed cells, nulls, the sum of the kept values and values never observed there."""
+    rows = st.readings_by_type(spark, d)
+    out = impute.impute_forest(rows, "T1", pipelines.sites_of(rows))
+    seen = rows.filter("T1 IS NOT NULL").groupBy("site", "T1").agg(F.lit(1).alias("known"))
+    return (
+        out.join(seen, ["site", "T1"], "left")
+        .groupBy("site")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("T1_imp").alias("n_imputed"),
+            F.count_if(F.col("T1").isNull()).alias("n_null"),
+            F.sum(F.when(~F.col("T1_imp"), F.col("T1"))).alias("kept"),
+            F.count_if(F.col("T1_imp") & F.col("known").isNull()).alias("n_invented"),
+        )
+    )
 
 
-@query
-def pmm_match(spark, d):
+def _matched(spark, d, **options):
     rows = st.table(spark, d, "events").select(
         F.col("event_type").alias("site"),
         "event_id",
@@ -711,7 +748,17 @@ def pmm_match(spark, d):
         (F.floor(F.col("value") * 2) / 2).alias("prediction"),
         F.when(F.col("event_id") % 7 == 0, F.col("value")).alias("observed"),
     )
-    return impute.pmm_match(rows, keys=("site",), width=8.0).select("event_id", "matched")
+    return impute.pmm_match(rows, keys=("site",), width=8.0, **options).select("event_id", "matched")
+
+
+@query
+def pmm_match(spark, d):
+    return _matched(spark, d)
+
+
+@query
+def pmm_match_draw(spark, d):
+    return _matched(spark, d, k=3, seed=5)
 
 
 @query

@@ -48,7 +48,7 @@ def reject_short_files(rows: DataFrame, min_rows: int = MIN_ROWS, path: str = "p
 
 def dedup_in_file(rows: DataFrame) -> DataFrame:
     """Last row of each repeated time text of a file; V1 is the row index."""
-    return keep_last(rows, ["path", "V2"], [F.col("V1").cast("long")])
+    return keep_last(rows, ["path", "V2"], [F.col("V1").try_cast("long")])
 
 
 def typed_rows(rows: DataFrame, ntz: bool = False) -> DataFrame:
@@ -72,24 +72,28 @@ def bad_rows(rows: DataFrame) -> DataFrame:
     return rows.filter(parse_logger_time(F.col("V2")).isNull())
 
 
-def readings_from_rows(rows: DataFrame, ntz: bool = False) -> DataFrame:
-    """Short files out, text to values, repeated times out.
+def readings_from_rows(rows: DataFrame, ntz: bool = False, origin: bool = False) -> DataFrame:
+    """Short files out, text to values, repeated times of a file out; with ``origin`` the file and row stay as ``path, row``.
 
     Rows whose time does not parse are left out (see :func:`bad_rows`). Values are parsed before the
     repeats go, so that filter is not pushed down as one huge expression over the raw line.
     """
     rows = reject_short_files(rows.withColumn("V2", normalise_time_text(F.col("V2"))))
-    readings = dedup_in_file(typed_rows(rows, ntz)).drop("path", "V1", "V2")
-    return readings.filter("datetime is not null")
+    readings = dedup_in_file(typed_rows(rows, ntz)).filter("datetime is not null")
+    if origin:
+        return readings.withColumn("row", F.col("V1").try_cast("long")).drop("V1", "V2")
+    return readings.drop("path", "V1", "V2")
 
 
-def scan_logger_files(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "data_*") -> DataFrame:
-    """All readings of a folder tree in one job. Times are UTC in the files.
+def scan_logger_files(
+    spark: SparkSession, paths: Sequence[str] | str, pattern: str = "data_*", origin: bool = False
+) -> DataFrame:
+    """All readings of a folder tree in one job, with ``path`` and ``row`` if ``origin``. Times are UTC in the files.
 
     The session zone must be UTC while the text is parsed, so times are read as UTC instants here
     whatever zone the session shows.
     """
-    readings = readings_from_rows(split_logger_lines(read_logger_lines(spark, paths, pattern)), ntz=True)
+    readings = readings_from_rows(split_logger_lines(read_logger_lines(spark, paths, pattern)), ntz=True, origin=origin)
     zone = spark.conf.get("spark.sql.session.timeZone")
     return readings.withColumn(
         "datetime", F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("datetime")).cast("timestamp")

@@ -151,6 +151,37 @@ def test_pmm_takes_nearest_then_earliest(spark):
     assert got == [10.0, 11.0, 30.0, 10.0, 10.0, 30.0, 10.0]
 
 
+def test_match_draws_among_the_nearest(spark):
+    rows = [(datetime(2024, 1, 1) + timedelta(hours=i), float(i // 2), 10.0 * i if i < 40 else None) for i in range(40)]
+    asks = [(datetime(2024, 2, 1) + timedelta(hours=i), 7.2, None) for i in range(60)] + [(datetime(2024, 3, 1), None, None)]
+    df = spark.createDataFrame(rows + asks, "datetime timestamp_ntz, prediction double, observed double")
+    out = impute.pmm_match(df, k=3, width=1.0).filter("observed IS NULL")
+    got = {r["matched"] for r in out.filter("prediction IS NOT NULL").collect()}
+    assert got == {140.0, 150.0, 160.0}  # both of prediction 7, then the earlier one of 8
+    again = impute.pmm_match(df.repartition(3), k=3, width=4.0).filter("observed IS NULL")
+    assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
+    none = df.filter("observed IS NULL")
+    assert {r["matched"] for r in impute.pmm_match(none, k=3).collect()} == {None}
+
+
+def test_forest_uses_many_sites(spark):
+    t0 = datetime(2024, 1, 1)
+    rows = [
+        (f"S{s:02d}", t0 + timedelta(hours=i), None if (i * 7 + s) % 23 == 0 else float((i % 24) + s))
+        for s in range(25)
+        for i in range(96)
+    ]
+    rows += [("S99", t0, None)]
+    df = spark.createDataFrame(rows, "site string, datetime timestamp_ntz, T1 double")
+    sites = sorted({r[0] for r in rows})
+    out = impute.impute_forest(df, "T1", sites, num_trees=3, max_iter=1, max_depth=5).cache()
+    assert out.count() == 26 * 96
+    assert out.filter("T1 IS NULL AND site <> 'S99'").count() == 0
+    assert out.filter("site = 'S99' AND T1 IS NULL").count() == 96
+    seen = {(r[0], r[2]) for r in rows}
+    assert {(r["site"], r["T1"]) for r in out.filter("site <> 'S99'").collect()} <= seen
+
+
 def test_forest_keeps_observed_and_emits_observed_values(spark):
     t0 = datetime(2024, 1, 1)
     rows = []

@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 from frostline.config import EXPORT_COLUMNS
+from frostline.operators import dedup
 from frostline.operators.export import check_columns, export_clean, export_metadata
 from frostline.plans import pipelines
 
@@ -67,3 +68,18 @@ def test_imputed_table_is_dense(spark):
     assert out.columns == ["site", "datetime", "T1", "T2", "T3", "moist", "T1_imp", "T2_imp", "T3_imp", "moist_imp"]
     assert out.filter("T1 IS NULL OR T2 IS NULL OR T3 IS NULL OR moist IS NULL").count() == 0
     assert out.filter("T1_imp").count() == 10 and out.filter("moist_imp").count() == 10
+
+
+def test_first_file_wins_unless_it_measured_nothing(spark):
+    t = [datetime(2024, 1, 1, h) for h in range(3)]
+    rows = [
+        (1, t[0], "b.csv", 1, 4.0, 1.0),
+        (1, t[0], "a.csv", 9, 5.0, 2.0),  # the first file, whatever the value
+        (1, t[1], "a.csv", 2, None, None),  # measured nothing
+        (1, t[1], "b.csv", 3, 6.0, None),
+        (1, t[2], "a.csv", 10, 7.0, 1.0),
+        (1, t[2], "a.csv", 9, 8.0, 1.0),  # the first row, by number
+    ]
+    df = spark.createDataFrame(rows, "tomst_id long, datetime timestamp_ntz, path string, row long, T1 double, moist double")
+    got = dedup.first_reading(df, sensors=("T1", "moist")).orderBy("datetime").collect()
+    assert [(r["T1"], r["moist"]) for r in got] == [(5.0, 2.0), (6.0, None), (8.0, 1.0)]
