@@ -82,7 +82,7 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 def _parsed(pieces: DataFrame) -> DataFrame:
     """Header fields of each piece, and ``span``: bytes from its magic to its successor (null without a readable header)."""
-    at = F.instr(F.substring("value", 1, 65536), END)
+    at = F.instr("value", END)
     cut = pieces.withColumn("at", at).withColumn("head", F.when(F.col("at") > 0, F.substring_index("value", END, 1)))
     block_size = F.try_to_number(F.regexp_extract("head", r"(?i)(?:^|\r\n)Content-Length:[ \t]*(\d{1,15})[ \t]*(?:\r\n|$)", 1), F.lit("999999999999999")).cast("long")
     span = F.lit(len(MAGIC)) + F.octet_length("head") + 4 + block_size + 4

@@ -398,6 +398,15 @@ def test_archives_come_back(spark, parts, split):
     assert all(r.payload == (dict((i, h) for i, _, h in rows)[r.page_id] or "") for r in got if r.record_type == "response")
 
 
+@pytest.mark.parametrize("size", [65_000, 100_000, 1_000_000])
+def test_a_long_url_hides_no_record(spark, size):
+    rows = [(1, "u", "first"), (2, "u" * size, "second"), (3, "ü" * size, "third"), (4, "u", "last"), (5, "u", "é" * size + warc.MAGIC + "x" * size)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path = new_stage_path(spark)
+    warc.write(pages.orderBy("page_id").coalesce(1), path)
+    assert sorted((r.page_id, r.url, r.payload) for r in warc.read(spark, path).collect()) == rows
+
+
 def test_archive_of_nothing(spark):
     assert warc.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
