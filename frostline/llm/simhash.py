@@ -29,12 +29,11 @@ MOST_RANGES = 4096  # ranges of an order at most; bounds what is sent to every t
 FANOUT = 8
 
 
-def fingerprints_of(texts: pa.Array, size: int = 3) -> np.ndarray:
-    """64-bit SimHash of each text's word shingles; 0 for texts without words."""
+def shingle_hashes(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of each text's word shingles in order, and their number; a text of fewer words is one shingle."""
     rows, words = split_words(texts)
-    out = np.zeros(len(texts), dtype=np.uint64)
     if not len(rows):
-        return out
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(texts), dtype=np.int64)
     counts = np.bincount(rows, minlength=len(texts))
     lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     joined = b" ".join(words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
@@ -49,6 +48,13 @@ def fingerprints_of(texts: pa.Array, size: int = 3) -> np.ndarray:
     hashes = np.fromiter(
         (h64(joined[a:b], SEED) for a, b in zip(starts[at].tolist(), ends[last].tolist(), strict=True)), np.uint64, len(at)
     )
+    return hashes, shingles
+
+
+def fingerprints_of(texts: pa.Array, size: int = 3) -> np.ndarray:
+    """64-bit SimHash of each text's word shingles; 0 for texts without words."""
+    hashes, shingles = shingle_hashes(texts, size)
+    out = np.zeros(len(texts), dtype=np.uint64)
     begin = np.cumsum(shingles) - shingles
     full = np.flatnonzero(shingles)
     for a in range(0, len(full), 256):
@@ -258,10 +264,14 @@ def near_duplicates(docs: DataFrame, limit: int = DISTANCE, size: int = 3) -> Da
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, limit: int = DISTANCE, size: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component, one row of each; rows without an id stay."""
-    found = near_duplicates(docs, limit, size)
+def smallest_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is its ``component_id`` in ``found``, one row of each; rows without an id stay."""
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     columns = docs.columns
     alike = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*[c for c in columns if c != "doc_id"])).alias("row"))
     return alike.select(*[F.col(c) if c == "doc_id" else F.col("row")[c].alias(c) for c in columns]).unionByName(docs.where("doc_id is null"))
+
+
+def one_of_each(docs: DataFrame, limit: int = DISTANCE, size: int = 3) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is the smallest of its component, one row of each; rows without an id stay."""
+    return smallest_of_each(docs, near_duplicates(docs, limit, size))
