@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import chat, nearest, outliers, packing, pieces, ppm, quality, simhash, toxicity, warc
+from frostline.llm import bestfit, chat, nearest, outliers, packing, pieces, ppm, quality, simhash, spelling, toxicity, warc, whitening
 from frostline.llm.text import fold
 
 
@@ -29,6 +29,12 @@ def byte_bpe() -> Callable:
     return lambda texts: packing.encoder(path, pattern)(texts)
 
 
+def word_bpe() -> Callable:
+    """Ids of the public word BPE vocabulary; the encoder is made in the worker."""
+    path = _tokenizer("word_bpe_49k.json")
+    return lambda texts: bestfit.encoder(path)(texts)
+
+
 def op1_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(_table(spark, sf_dir, "documents"))
 
@@ -80,6 +86,18 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_spelling_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(_table(spark, sf_dir, "documents")))
+
+
+def op12_cholesky_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(_table(spark, sf_dir, "documents"), word_bpe(), end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +111,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sampled_pieces,
         op9_simhash_gray,
         op10_warc_chain,
+        op11_spelling_trie,
+        op12_cholesky_whitening,
+        op13_swap_packing,
     )
 }
 

@@ -49,7 +49,7 @@ def texts_of(df):
 
 def test_every_operator_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -493,7 +493,7 @@ def test_recall_and_exact_scores(spark):
         d = np.sqrt(((x - x[j]) ** 2).sum(axis=1))
         d[j] = np.inf
         mine = sorted((r.rank, r.vec_id, r.score) for r in rows if r.query_id == ids[j])
-        assert [m[0] for m in mine] == list(range(1, 11)) and all(abs(d[np.flatnonzero(ids == m[1])[0]] - m[2]) < 1e-9 for m in mine)
+        assert [m[0] for m in mine] == list(range(1, 14)) and all(abs(d[np.flatnonzero(ids == m[1])[0]] - m[2]) < 1e-9 for m in mine)
         hits, total = hits + len({m[1] for m in mine} & set(ids[np.lexsort((ids, d))[:10]])), total + 10
     assert hits / total >= 0.9
 
