@@ -10,6 +10,7 @@ grows until sequences empty. The search ends when no fewer sequences can hold th
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -25,10 +26,16 @@ from frostline.session import stage
 GROUP_TOKENS = 1 << 24  # that are packed together
 
 
+#: How the tokenizer splits lower-case printable ASCII without white space.
+ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space: each distinct chunk between white space is encoded once.
 
-    ``known`` chunks are remembered, and forgotten when they get too many.
+    Chunks of printable ASCII without a mark that could be a special token are split here, and each distinct part is
+    encoded once; the tokenizer itself encodes all others. ``known`` chunks and parts are remembered, and forgotten when
+    they get too many.
     """
 
     def __init__(self, path: str, known: int = 300_000):
@@ -36,14 +43,23 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), known
+        self.model = self.tokenizer.model
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
+        self.parts: dict[str, list[int]] = {}
         self.ids, self.begin, self.size = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64))
 
+    def _part(self, part: str) -> list[int]:
+        if (ids := self.parts.get(part)) is None:
+            ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
+        return ids
+
     def _learn(self, chunks: list[str]) -> None:
-        own = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
+        plain = [c.isascii() and c.isprintable() and "<|" not in c for c in chunks]
+        whole = iter(self.tokenizer.encode_batch([c for c, p in zip(chunks, plain, strict=True) if not p], add_special_tokens=False))
+        own = [[i for x in ASCII_PARTS.findall(c.lower()) for i in self._part(x)] if p else next(whole).ids for c, p in zip(chunks, plain, strict=True)]
         n = np.array([len(x) for x in own], dtype=np.int64)
         self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks)), strict=True))
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(n) - n])
