@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.llm import outliers, packing, quality, shingles
+from frostline.llm import outliers, packing, quality, simhash
 from frostline.llm.queries import byte_bpe
 from frostline.llm.text import fold
 from frostline.session import new_stage_path
@@ -32,8 +32,8 @@ def regular_form(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (shingles of five words, similarity 0.8), that with the smallest id."""
-    return shingles.one_of_each(docs)
+    """One document of each group whose SimHash fingerprints (three-word shingles) link at 2 bits, that with the smallest id."""
+    return simhash.one_of_each(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +44,11 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", good_quality),
     ("quality rules", regular_form),
-    ("near-duplicates", one_per_group),
+    ("SimHash near-dedup", one_per_group),
     ("packing", packed),
 ]
 
-ORACLE_SQL = None  # a learned classifier, a tokenizer and a placement heuristic have no SQL; tests/llm holds brute force
+ORACLE_SQL = None  # a learned classifier, a tokenizer and a placement heuristic have no SQL; tests/llm compares the stages with plain versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

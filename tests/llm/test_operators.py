@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from frostline.llm import chat, components, factor_machine, nearest, outliers, packing, pieces, ppm, quality, shingles, simhash, toxicity, warc
+from frostline.llm import chat, components, factor_machine, nearest, outliers, packing, pieces, ppm, quality, simhash, toxicity, warc
 from frostline.llm.queries import QUERIES, byte_bpe
 from frostline.session import new_stage_path
 from tests.compare import ROOT, compare, connect
@@ -264,53 +264,6 @@ def test_near_duplicates_of_odd_rows(spark, odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
-def brute_components(rows, similarity=0.8):
-    """Smallest id that pairs of this similarity of 5-word shingles reach, by comparing every pair."""
-    sets = []
-    for _, t in rows:
-        w = WORDS.findall(lowered(t))
-        sets.append({" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or ({" ".join(w)} if w else set()))
-    root = list(range(len(rows)))
-    find = lambda x: x if root[x] == x else find(root[x])
-    for i, x in enumerate(sets):
-        for j, y in enumerate(sets[:i]):
-            if x == y or (x and y and len(x & y) / len(x | y) >= similarity):
-                root[find(i)] = find(j)
-    least = {}
-    for i, (k, _) in enumerate(rows):
-        least[find(i)] = min(least.get(find(i), k), k)
-    return {k: least[find(i)] for i, (k, _) in enumerate(rows)}
-
-
-def test_the_stage_links_planted_near_copies(spark):
-    """Copies with words changed here and there, at similarities on both sides of 0.8."""
-    rng = np.random.default_rng(8)
-    rows = []
-    for group in range(12):
-        base = [f"w{x}" for x in rng.integers(0, 5000, 300)]
-        rows.append((1000 * group, " ".join(base)))
-        for copy in range(1, 15):
-            words = list(base)
-            for at in rng.integers(0, 300, copy):
-                words[at] = f"new{rng.integers(0, 9)}"
-            rows.append((1000 * group + copy, " ".join(words)))
-    rows += [(-1, " ".join(f"e{k}" for k in range(13))), (-2, " ".join(f"e{k}" for k in range(12)) + " x"), (-3, " ".join(f"e{k}" for k in range(11)))]  # 8/10, 7/9
-    want = brute_components(rows)
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id: r.component_id for r in shingles.near_duplicates(df).collect()} == want
-    kept = corpus_pipeline.one_per_group(spark, df, SF).collect()
-    assert sorted(r.doc_id for r in kept) == sorted(set(want.values()))
-
-
-def test_the_stage_against_every_pair(spark, odd):
-    rows = texts_of(spark.read.parquet(f"{ROOT}/sf0.01/documents.parquet"))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.doc_id: r.component_id for r in shingles.near_duplicates(df).collect()} == brute_components(rows)
-    one = shingles.one_of_each(odd)
-    assert one.columns == odd.columns and sorted(r.doc_id or 0 for r in one.collect()) == [0, 1, 4, 5, 8, 9, 10, 11]
-    assert shingles.near_duplicates(odd.limit(0)).count() == 0
-
-
 # packing ------------------------------------------------------------------------------------------------------------
 
 
@@ -513,10 +466,44 @@ def test_vectors_that_take_no_part(spark):
 # pipeline -----------------------------------------------------------------------------------------------------------
 
 
+def brute_kept(rows):
+    """Ids that stay: the smallest of each component of fingerprints within 2 bits, by comparing every pair."""
+    prints = [(i, fingerprint(t)) for i, t in rows]
+    root = {i: i for i, _ in prints}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, (i, x) in enumerate(prints):
+        for j, y in prints[:k]:
+            if (x ^ y).bit_count() <= 2:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i for i, _ in prints if find(i) == i}
+
+
+def test_the_near_duplicate_stage_against_every_pair(spark):
+    docs = spark.read.parquet(f"{ROOT}/sf0.01/documents.parquet")
+    kept = corpus_pipeline.one_per_group(spark, docs, f"{ROOT}/sf0.01").collect()
+    assert len(kept) == len({r.doc_id for r in kept}) and {r.doc_id for r in kept} == brute_kept(texts_of(docs))
+
+
+def test_the_pipeline_takes_odd_rows(spark, odd):
+    """Every filtering stage on rows with nulls, repeats, clashing columns and long texts, and on none."""
+    folder = f"{ROOT}/sf0.001"
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, odd, folder).columns == odd.columns
+        assert stage(spark, odd, folder).exceptAll(odd).count() == 0
+        assert stage(spark, odd.limit(0), folder).count() == 0
+    assert corpus_pipeline.packed(spark, odd.limit(0), folder).count() == 0
+
+
 def test_pipeline_stages(spark):
     folder = f"{ROOT}/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "quality rules", "near-duplicates", "packing"]
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "quality rules", "SimHash near-dedup", "packing"]
     for _, stage in corpus_pipeline.STAGES[:-1]:
         path = new_stage_path(spark)
         stage(spark, docs, folder).write.parquet(path)
