@@ -72,8 +72,69 @@ def pmm_match(
     )
 
 
-HELD = 10  # one of so many observed cells of a site is held out of its forest, to judge the pass
-LEAST_OBSERVED = 20  # sites with fewer are judged on the cells they learn from
+#: Share of a Poisson variable of mean 1 that is at most 0, 1, 2 ...
+POISSON = (0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759)
+
+
+def bag_weight(time: Column, seed: int, *names: int) -> Column:
+    """How often a bag holds the row of a time: a Poisson draw by a hash, the same in every run and on every executor."""
+    u = F.pmod(F.xxhash64(F.lit(seed), *map(F.lit, names), time), F.lit(1 << 30)) / float(1 << 30)
+    return reduce(lambda n, bound: n + (u >= bound).cast("int"), POISSON, F.lit(0))
+
+
+def _group_sizes(trees: int, group: int) -> list[int]:
+    """Trees of each group: as even as can be, ``group`` at most."""
+    groups = max(1, -(-trees // group))
+    return [trees // groups + (g < trees % groups) for g in range(groups)]
+
+
+def grow_site(
+    table: DataFrame, i: int, inputs: Sequence[str], trees: Sequence[int], max_depth: int, leaf: int, seed: int, time: str, parallel: int
+) -> DataFrame:
+    """``time, o, p, oob`` of one site: what is observed, the forest's prediction, and that of the trees that have not
+    seen the cell (null where the cell is not observed or all groups have seen it).
+
+    Each group of trees learns from its own bag of the observed rows; its predictions are written and its model is
+    dropped, so the driver holds ``parallel`` groups at most, never a forest.
+    """
+    ready = VectorAssembler(inputCols=list(inputs), outputCol="_features").transform(table)
+
+    def predicted(g: int) -> DataFrame:
+        rows = ready.withColumn("_w", bag_weight(F.col(time), seed, i, g).cast("double"))
+        forest = RandomForestRegressor(
+            featuresCol="_features",
+            labelCol=f"o_{i}",
+            predictionCol="_p",
+            weightCol="_w",
+            numTrees=trees[g],
+            bootstrap=False,
+            maxDepth=max_depth,
+            maxBins=64,
+            minInstancesPerNode=leaf,
+            featureSubsetStrategy="sqrt",
+            maxMemoryInMB=512,
+            seed=seed + 1009 * i + g,
+        )
+        model = forest.fit(rows.filter(F.col(f"o_{i}").isNotNull() & (F.col("_w") > 0)))
+        unseen = F.col(f"o_{i}").isNotNull() & (F.col("_w") == 0)
+        n = float(trees[g])
+        return stage(
+            model.transform(rows).select(
+                time, (F.col("_p") * n).alias("p"), F.when(unseen, F.col("_p") * n).alias("oob"), F.when(unseen, n).alias("n")
+            )
+        )
+
+    with ThreadPoolExecutor(parallel) as pool:
+        parts = list(pool.map(predicted, range(len(trees))))
+    summed = (
+        reduce(DataFrame.unionByName, parts)
+        .groupBy(time)
+        .agg((F.sum("p") / float(sum(trees))).alias("p"), (F.sum("oob") / F.sum("n")).alias("oob"))
+    )
+    cells = stage(table.select(time, F.col(f"o_{i}").alias("o")).join(summed, time))
+    for part in parts:
+        unstage(part)
+    return cells
 
 
 def impute_forest(
@@ -89,15 +150,22 @@ def impute_forest(
     time: str = "datetime",
     width: float = 0.5,
     leaf: int = 5,
+    group: int = 10,
     parallel: int = 8,
+    most_leaves: int = 1 << 14,
 ) -> DataFrame:
     """Impute ``value`` per site from time, day of year, hour and all other sites.
 
-    In a pass a forest per site with nulls learns from the table of the pass before (means at first), then all sites are
-    filled by matching with ``donors`` donors and the table is written once. Passes repeat until the error on held-out
-    observed cells stops falling, ``max_iter`` times at most; the table of the best pass counts. Leaves hold ``leaf`` cells at
-    least; ``parallel`` forests are grown side by side, which changes no result. Lost executors cost one pass at most. Returns (site, time, value,
-    <value>_imp) on the dense grid of ``sites``; a site without any observation stays null.
+    In a pass the sites with nulls are visited by rising number of nulls. A forest learns from the site's observed cells
+    and the other sites as they are now, those filled earlier in the pass included; the site's nulls then get the observed
+    value of one of ``donors`` donors, which are told by the predictions of trees that have not seen them. Passes repeat
+    until the out-of-bag error stops falling, ``max_iter`` times at most; the table of the best pass counts. All observed
+    cells teach.
+
+    Trees grow in groups of ``group``, ``parallel`` groups side by side, which changes no result. Leaves hold ``leaf`` cells at
+    least, and more where a tree would have over ``most_leaves``, so what the driver holds has a bound whatever the rows.
+    Every site's table is staged: lost executors cost one group of trees at most. Returns (site, time, value, <value>_imp)
+    on the dense grid of ``sites``; a site without any observation stays null.
     """
     ids = {s: i for i, s in enumerate(sites)}
     base = pivot_sites(df.select(site, time, value), value, sites, site, time)
@@ -120,69 +188,36 @@ def impute_forest(
         ],
     ).first()
     usable = [i for i in ids.values() if stats[f"count_{i}"] > 0]
-    targets = [i for i in usable if stats[f"count_{i}"] < stats["n"]]
-
-    def held(i: int) -> Column:
-        """Observed cells that the site's forest does not see."""
-        if stats[f"count_{i}"] < LEAST_OBSERVED:
-            return F.lit(False)
-        return F.pmod(F.xxhash64(F.lit(seed), F.col(time), F.lit(i)), F.lit(HELD)) == 0
+    targets = sorted((i for i in usable if stats[f"count_{i}"] < stats["n"]), key=lambda i: (-stats[f"count_{i}"], i))
+    trees = _group_sizes(num_trees, group)
 
-    def features(table: DataFrame, i: int) -> DataFrame:
+    def visited(table: DataFrame, i: int) -> tuple[DataFrame, float]:
+        """The table with the site filled anew, and the share of the site's variance that unseen trees miss."""
         inputs = ["f_time", "f_yd", "f_hour", *[f"x_{j}" for j in usable if j != i]]
-        return VectorAssembler(inputCols=inputs, outputCol=f"_features_{i}").transform(table)
-
-    def fit(table: DataFrame, i: int):
-        forest = RandomForestRegressor(
-            featuresCol=f"_features_{i}",
-            labelCol=f"o_{i}",
-            predictionCol=f"p_{i}",
-            numTrees=num_trees,
-            maxDepth=max_depth,
-            maxBins=64,
-            minInstancesPerNode=leaf,
-            featureSubsetStrategy="sqrt",
-            seed=seed,
-        )
-        return forest.fit(features(table, i).filter(F.col(f"o_{i}").isNotNull() & ~held(i)))
-
-    def predictions(table: DataFrame, group: Sequence[int]) -> DataFrame:
-        """``i, p, o, judged`` of every cell of some sites."""
-        with ThreadPoolExecutor(len(group)) as pool:
-            models = list(pool.map(lambda i: fit(table, i), group))
-        out = table
-        for i, model in zip(group, models, strict=True):
-            out = model.transform(features(out, i)).drop(f"_features_{i}")
-        cells = [
-            F.struct(
-                F.lit(i).alias("i"),
-                F.col(f"p_{i}").alias("p"),
-                F.col(f"o_{i}").alias("o"),
-                (F.col(f"o_{i}").isNotNull() & (F.lit(stats[f"count_{i}"] < LEAST_OBSERVED) | held(i))).alias("judged"),
-            )
-            for i in group
-        ]
-        return stage(out.select(time, F.inline(F.array(*cells))))
-
-    def filled(source: dict[int, Column]) -> list[Column]:
-        means = {i: F.lit(stats[f"mean_{i}"]) for i in ids.values()}
-        return [F.coalesce(F.col(f"o_{i}"), source.get(i, means[i])).alias(f"x_{i}") for i in ids.values()]
-
-    best, best_error = stage(base.select("*", *filled({}))), None
+        least = max(leaf, -(-stats[f"count_{i}"] // most_leaves))
+        cells = grow_site(table, i, inputs, trees, max_depth, least, seed, time, parallel)
+        missed = cells.agg(F.avg(F.pow(F.col("oob") - F.col("o"), 2))).first()[0]
+        known = cells.select(time, "o", F.coalesce("oob", "p").alias("p"))
+        matched = pmm_match(known, "p", "o", time, [], width, donors, seed).select(time, F.col("matched").alias("_new"))
+        fresh = stage(table.join(matched, time).withColumn(f"x_{i}", F.col("_new")).select(*table.columns))
+        unstage(cells)
+        return fresh, (missed or 0.0) / (stats[f"var_{i}"] or 1.0)
+
+    means = [F.coalesce(F.col(f"o_{i}"), F.lit(stats[f"mean_{i}"])).alias(f"x_{i}") for i in ids.values()]
+    best, best_error = stage(base.select("*", *means)), None
+    unstage(base)
     for _ in range(max_iter if targets else 0):
-        parts = [predictions(best, targets[at : at + parallel]) for at in range(0, len(targets), parallel)]
-        long = reduce(DataFrame.unionByName, parts)
-        misses = long.filter("judged").groupBy("i").agg(F.avg(F.pow(F.col("p") - F.col("o"), 2)).alias("e")).collect()
-        error = sum(r["e"] / (stats[f"var_{r['i']}"] or 1.0) for r in misses)
+        table, error = best, 0.0
+        for i in targets:
+            fresh, missed = visited(table, i)
+            if table is not best:
+                unstage(table)
+            table, error = fresh, error + missed
         if best_error is not None and error >= best_error:
+            unstage(table)
             break
-        matched = pmm_match(long.drop("judged"), "p", "o", time, ["i"], width, donors, seed)
-        wide = matched.groupBy(time).pivot("i", targets).agg(F.first("matched"))
-        wide = wide.select(time, *[F.col(f"`{i}`").alias(f"m_{i}") for i in targets])
-        fresh = stage(base.join(wide, time).select(*base.columns, *filled({i: F.col(f"m_{i}") for i in targets})))
-        for old in (best, *parts):
-            unstage(old)
-        best, best_error = fresh, error
+        unstage(best)
+        best, best_error = table, error
     out = F.array(
         *[
             F.struct(F.lit(s).alias(site), F.col(f"x_{i}").alias(value), F.col(f"o_{i}").isNull().alias(f"{value}_imp"))

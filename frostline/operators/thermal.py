@@ -158,44 +158,66 @@ def mean_daily_range(daily: DataFrame) -> DataFrame:
     return _wide(out, "mean_daily_range", month_label(F.col("month")))
 
 
-def month_ranks(df: DataFrame, quant_min: float = 0.001, quant_max: float = 0.999) -> DataFrame:
-    """The k-th smallest and largest reading per (site, month, sensor), ``k = max(1, round(n q))``.
+RANK_KEYS = ("site", "year", "month", "sensor")
 
-    Equal readings at one time are counted before the shuffle; a group then holds the distinct
-    (value, time) pairs of one site-month.
-    """
+
+def _month_cells(df: DataFrame) -> DataFrame:
+    """A row per reading and sensor, with the whole degree it lies in; NaN counts as warmest, as in Spark's order."""
     cells = F.array(
         *[
-            F.struct(F.lit(t).alias("sensor"), F.col(t).alias("value"), F.col(f"{t}_imp").cast("boolean").alias("imp"))
+            F.struct(F.lit(t).alias("sensor"), F.col(t).cast("double").alias("value"), F.col(f"{t}_imp").cast("boolean").alias("imp"))
             for t in TEMPERATURES
         ]
     )
-    counts = (
-        df.select("site", F.year("datetime").alias("year"), F.month("datetime").alias("month"), "datetime", F.inline(cells))
-        .groupBy("site", "year", "month", "sensor", "value", "datetime", "imp")
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    group = Window.partitionBy("site", "year", "month", "sensor")
-    upto = (Window.unboundedPreceding, 0)
-    ranked = counts.withColumns(
-        {
-            "n": F.sum("m").over(group),
-            "up": F.sum("m").over(group.orderBy(F.asc_nulls_last("value"), "datetime", "imp").rowsBetween(*upto)),
-            "down": F.sum("m").over(group.orderBy(F.desc_nulls_last("value"), "datetime", "imp").rowsBetween(*upto)),
-        }
-    )
-    k_min = F.greatest(F.bround(F.col("n") * F.lit(quant_min), 0), F.lit(1.0))
-    k_max = F.greatest(F.bround(F.col("n") * (F.lit(1.0) - F.lit(quant_max)), 0), F.lit(1.0))
-    at_min = (F.col("up") >= k_min) & (F.col("up") - F.col("m") < k_min)
-    at_max = (F.col("down") >= k_max) & (F.col("down") - F.col("m") < k_max)
-    kinds = F.filter(
-        F.array(F.when(at_min, F.lit("min")), F.when(at_max, F.lit("max"))), lambda v: v.isNotNull()
-    )
-    return (
-        ranked.filter(at_min | at_max)
-        .withColumn("var", F.explode(kinds))
-        .select("site", "year", "month", "sensor", "var", "value", F.when(F.col("imp"), 100.0).when(~F.col("imp"), 0.0).alias("pct"))
+    degree = F.floor(F.least(F.greatest(F.col("value"), F.lit(-1e6)), F.lit(1e6)))
+    rows = df.select("site", F.year("datetime").alias("year"), F.month("datetime").alias("month"), "datetime", F.inline(cells))
+    return rows.withColumn("degree", F.when(F.col("value").isNotNull(), degree))
+
+
+def _picked(counts: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Of counts ``m`` per group and ``var``, the one that holds the rank asked for; ``rank`` is then the rank within it.
+
+    ``order`` begins with the column of values, which falls for ``max``; the others rise.
+    """
+
+    def below(var: str, sign: str) -> Column:
+        by = [getattr(F, sign)(order[0]), *order[1:]]
+        return F.sum("m").over(Window.partitionBy(*RANK_KEYS, "var").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1))
+
+    parts = []
+    for var, sign in (("min", "asc"), ("max", "desc")):
+        before = F.coalesce(below(var, sign), F.lit(0))
+        part = counts.filter(F.col("var") == var).withColumn("_before", before)
+        here = (F.col("_before") < F.col("rank")) & (F.col("_before") + F.col("m") >= F.col("rank"))
+        parts.append(part.filter(here).withColumn("rank", F.col("rank") - F.col("_before")).drop("_before", "m"))
+    return parts[0].unionByName(parts[1])
+
+
+def month_ranks(df: DataFrame, quant_min: float = 0.001, quant_max: float = 0.999) -> DataFrame:
+    """The k-th smallest and largest reading per (site, month, sensor), ``k = max(1, round(n q))``, by selection.
+
+    Counts per whole degree tell in which degree the rank falls, counts per value and day in that degree tell the value
+    and the day, and only the readings of that value and day are put in order. Counts combine before every shuffle, so
+    no reading is exchanged or sorted but the few of the last step; the bounds of a step are as many rows as there are
+    site-months, and Spark broadcasts them where they are small. Nulls count for n and rank last; where the rank falls
+    among them there is no row. Equal values rank by time, then measured before imputed.
+    """
+    cells = _month_cells(df)
+    degrees = cells.groupBy(*RANK_KEYS, "degree").agg(F.count(F.lit(1)).alias("m"))
+    sized = degrees.withColumn("n", F.sum("m").over(Window.partitionBy(*RANK_KEYS)))
+    ranks = F.array(
+        F.struct(F.lit("min").alias("var"), F.greatest(F.bround(F.col("n") * F.lit(quant_min), 0), F.lit(1.0)).alias("rank")),
+        F.struct(F.lit("max").alias("var"), F.greatest(F.bround(F.col("n") * (F.lit(1.0) - F.lit(quant_max)), 0), F.lit(1.0)).alias("rank")),
     )
+    asked = sized.filter("degree IS NOT NULL").select(*RANK_KEYS, "degree", "m", F.inline(ranks))
+    bounds = _picked(asked, ["degree"])
+    inside = cells.withColumn("day", F.dayofmonth("datetime")).join(bounds, [*RANK_KEYS, "degree"])
+    values = inside.groupBy(*RANK_KEYS, "var", "rank", "value", "day").agg(F.count(F.lit(1)).alias("m"))
+    days = _picked(values, ["value", "day"])
+    last = cells.withColumn("day", F.dayofmonth("datetime")).join(days, [*RANK_KEYS, "value", "day"])
+    stamps = last.groupBy(*RANK_KEYS, "var", "rank", "value", "datetime", "imp").agg(F.count(F.lit(1)).alias("m"))
+    pct = F.when(F.col("imp"), 100.0).when(~F.col("imp"), 0.0).alias("pct")
+    return _picked(stamps, ["value", "datetime", "imp"]).select("site", "year", "month", "sensor", "var", "value", pct)
 
 
 def month_extremes(df: DataFrame, daily: DataFrame, quant_min: float = 0.001, quant_max: float = 0.999) -> DataFrame:
