@@ -170,6 +170,22 @@ add(
         AND l.tomst_id = r.tomst_id AND CAST(r.datetime AS DATE) BETWEEN l.start_date AND l.end_date), 0) AS probl
        FROM rh r""",
 )
+add(
+    "ledger_interval_bins",
+    "site:s,tomst_id:i,datetime:t,T1:d,T2:d,T3:d,moist:d,probl:i",
+    """SELECT r.* EXCLUDE (error_tomst), coalesce((SELECT min(nullif(l.probl, 0)) FROM ledger l WHERE l.site = r.site
+        AND l.tomst_id = r.tomst_id AND CAST(r.datetime AS DATE) BETWEEN l.start_date AND l.end_date), 0) AS probl
+       FROM rh r""",
+)
+add(
+    "ledger_segments",
+    "site:s,tomst_id:i,start_date:D,end_date:D,probl:i",
+    """SELECT site, tomst_id, min(day) AS start_date, max(day) AS end_date, probl FROM
+       (SELECT *, day - CAST(row_number() OVER (PARTITION BY site, tomst_id, probl ORDER BY day) AS INT) AS run FROM
+        (SELECT site, tomst_id, day, coalesce(min(nullif(probl, 0)), 0) AS probl FROM
+         (SELECT site, tomst_id, probl, CAST(unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS day FROM ledger)
+         GROUP BY site, tomst_id, day)) GROUP BY site, tomst_id, probl, run""",
+)
 add("apply_bias", HF, "SELECT * FROM rh_bias")
 add(
     "reference_series",

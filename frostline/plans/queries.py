@@ -237,6 +237,16 @@ def ledger_interval_join(spark, d):
     return ledger.label_errors(st.readings_hf(spark, d).drop("error_tomst"), st.ledger(spark, d))
 
 
+@query
+def ledger_interval_bins(spark, d):
+    return ledger.label_errors_bins(st.readings_hf(spark, d).drop("error_tomst"), st.ledger(spark, d))
+
+
+@query
+def ledger_segments(spark, d):
+    return ledger.ledger_segments(st.ledger(spark, d))
+
+
 @query
 def apply_bias(spark, d):
     return bias.apply_bias(st.readings_hf(spark, d), st.bias(spark, d))
