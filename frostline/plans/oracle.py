@@ -155,6 +155,31 @@ add(
     """SELECT datetime, count(moist) AS n_observed, (SELECT count(DISTINCT site) FROM rt) AS n_sites FROM rt GROUP BY datetime
        HAVING 5 * count(moist) > (SELECT count(DISTINCT site) FROM rt)""",
 )
+add(
+    "scan_written_files",
+    "file:s,row:i,tomst_id:i,datetime:t,zone:i,T1:d,T2:d,T3:d,moist:d",
+    """SELECT file, event_id AS row, logger AS tomst_id, stamp AS datetime, 4 AS zone, value AS T1, value AS T2, value AS T3,
+        CAST(event_id % 4000 AS DOUBLE) AS moist FROM
+       (SELECT *, row_number() OVER (PARTITION BY file, stamp ORDER BY event_id DESC) AS k FROM file_lines
+        WHERE reason IS NULL AND file IN (SELECT file FROM file_kinds WHERE reject IS NULL)) WHERE k = 1""",
+)
+add(
+    "scan_rejects",
+    "file:s,row:i,reason:s,n_rows:i",
+    """SELECT file, NULL AS row, reject AS reason, n_rows FROM file_kinds WHERE reject IS NOT NULL
+       UNION ALL SELECT file, event_id, reason, 1 FROM file_lines WHERE reason IS NOT NULL AND file IN (SELECT file FROM file_kinds WHERE reject IS NULL)""",
+)
+add("written_file_layouts", "file:s,n_rows:i,sep:s,year_first:b,reject:s", "SELECT * FROM file_kinds")
+add(
+    "listed_manifest",
+    "file:s,site1:s,tomst_id:i",
+    "SELECT '/in/' || folder || '/data_' || logger || '_0.csv' AS file, upper(folder) AS site1, logger AS tomst_id FROM tree WHERE kind = 'data'",
+)
+add(
+    "listed_orphans",
+    "file:s",
+    "SELECT '/in/' || folder || '/' || kind || '_' || logger || '_' || copy || '.csv' AS file FROM tree WHERE copy = '9'",
+)
 # ----------------------------------------------------------------- joins
 add(
     "assign_site",

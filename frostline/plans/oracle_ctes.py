@@ -77,6 +77,17 @@ CTES: dict[str, str] = {
         WHEN logger % 4 = 2 THEN strftime(stamp, '%Y/%m/%d %H:%M') ELSE strftime(stamp, '%d/%m/%Y %H:%M') END AS V2,
         value AS V4, value AS V5, value AS V6, event_id % 4000 AS V7 FROM
         (SELECT event_id, CAST(value AS VARCHAR) AS value, {slot(15)} AS stamp, CASE WHEN user_id % 3 = 0 THEN user_id ELSE 1000 + user_id % 5 END AS logger FROM events)""",
+    "file_lines": f"""SELECT event_id, 's' || (n % 10) AS folder, 'data_' || (CASE WHEN alone THEN 95000000 + user_id ELSE 94000000 + n END) || '_0.csv' AS file,
+        CASE WHEN alone THEN 95000000 + user_id ELSE 94000000 + n END AS logger, n, NOT alone AND n % 7 = 6 AS header, stamp, value,
+        CASE WHEN event_id % 101 = 1 THEN 'fields' WHEN event_id % 97 = 0 THEN 'time' END AS reason FROM
+        (SELECT event_id, user_id, user_id // 5 AS n, user_id % 50 = 7 AS alone, {slot(15)} AS stamp, value FROM events)""",
+    "file_kinds": """SELECT file, folder, logger, count(*) + CAST(bool_or(header) AS INT) AS n_rows, CASE n % 3 WHEN 0 THEN ';' WHEN 1 THEN 'tab' ELSE ',' END AS sep,
+        n % 2 = 0 AS year_first, CASE WHEN count(*) + CAST(bool_or(header) AS INT) <= 100 THEN 'short' WHEN bool_or(header) THEN 'header' END AS reject
+        FROM file_lines GROUP BY file, folder, logger, n""",
+    "tree": """SELECT folder, 'data' AS kind, logger, '0' AS copy FROM file_kinds
+        UNION ALL SELECT folder, 'binary', logger, '0' FROM file_kinds WHERE logger % 2 = 0
+        UNION ALL SELECT folder, 'command', logger, '0' FROM file_kinds WHERE logger % 3 = 0
+        UNION ALL SELECT folder, 'command', logger, '9' FROM file_kinds WHERE logger % 5 = 0""",
     "coords": """SELECT DISTINCT 'S' || (user_id % 10) AS site, 60 + (user_id % 10) / 8e0 AS Lat, 20 + (user_id % 10) / 4e0 AS Lon
         FROM events WHERE user_id % 10 <> 9""",
     "rules": """SELECT 'S' || (user_id % 10) AS site, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS after,

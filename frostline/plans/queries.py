@@ -114,9 +114,54 @@ def dedup_keep_last(spark, d):
     return logger_files.dedup_in_file(_raw_rows(spark, d)).select("path", "V2", "V1")
 
 
+def _written_lines(spark, d):
+    lines = logger_files.read_logger_lines(spark, st.written_logger_files(spark, d), "part-*")
+    return lines.filter(F.col("path").contains("/data_"))
+
+
+def _scanned(spark, d):
+    return logger_files.readings_and_rejects(_written_lines(spark, d))
+
+
+def _file():
+    return F.element_at(F.split("path", "/"), -1).alias("file")
+
+
+@query
+def scan_written_files(spark, d):
+    return _scanned(spark, d)[0].select(_file(), "row", "tomst_id", "datetime", "zone", "T1", "T2", "T3", "moist")
+
+
+@query
+def scan_rejects(spark, d):
+    return _scanned(spark, d)[1].select(_file(), "row", "reason", "n_rows")
+
+
+@query
+def written_file_layouts(spark, d):
+    return logger_files.file_layouts(_written_lines(spark, d)).select(_file(), "n_rows", F.when(F.col("sep") == "\t", "tab").otherwise(F.col("sep")).alias("sep"), "year_first", "reject")
+
+
 # --------------------------------------------------- manifest and registry (B)
 
 
+def _listed(spark, d):
+    root = st.written_logger_files(spark, d)
+    found = logger_files.list_files(spark, root)
+    return found.withColumn("path", F.concat(F.lit("/in"), F.substring_index("path", root.rsplit("/", 1)[-1], -1)))
+
+
+@query
+def listed_manifest(spark, d):
+    return manifest.manifest_parse(_listed(spark, d).filter("bytes > 0"))
+
+
+@query
+def listed_orphans(spark, d):
+    return manifest.orphan_sidecars(_listed(spark, d))
+
+
+
 def _files(spark, d):
     return manifest.manifest_parse(st.manifest(spark, d))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from frostline.operators.dedup import keep_first
+from frostline.session import new_stage_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -224,6 +225,64 @@ def logger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", path.alias("path"), value.alias("value"))
 
 
+def logger_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of logger files by folder and file: one file per five users, and per user of every fiftieth.
+
+    Date order, seconds and separator differ between files; some lines have another layout or too few fields, and some
+    files begin with a header.
+    """
+    u, e = F.col("user_id"), F.col("event_id")
+    alone = u % 50 == 7
+    n = F.floor(u / 5).cast("long")
+    at = slot(F.col("ts"), 15)
+    order = n % 4
+    text = (
+        F.when(e % 97 == 0, F.date_format(at, "yyyy-MM-dd HH:mm"))
+        .when((F.date_format(at, "HH:mm") == "00:00") & (order == 0), F.date_format(at, "yyyy.MM.dd"))
+        .when(order == 0, F.date_format(at, "yyyy.MM.dd HH:mm:ss"))
+        .when(order == 1, F.date_format(at, "dd.MM.yyyy HH:mm:ss"))
+        .when(order == 2, F.date_format(at, "yyyy/MM/dd HH:mm"))
+        .otherwise(F.date_format(at, "dd/MM/yyyy HH:mm"))
+    )
+    number = F.col("value").cast("string")
+    number = F.when(n % 3 == 2, number).otherwise(F.translate(number, ".", ","))
+    whole = F.array(e.cast("string"), text, F.lit("4"), number, number, number, (e % 4000).cast("string"))
+    fields = F.when(e % 101 == 1, F.slice(whole, 1, 3)).otherwise(whole)
+    logger = F.when(alone, 95000000 + u).otherwise(94000000 + n).cast("string")
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("s"), (n % 10).cast("string")).alias("folder"),
+        F.concat(F.lit("data_"), logger, F.lit("_0.csv")).alias("file"),
+        e.alias("event_id"),
+        F.when(n % 3 == 0, F.array_join(fields, ";")).when(n % 3 == 1, F.array_join(fields, "\t")).otherwise(F.array_join(fields, ",")).alias("value"),
+        (~alone & (n % 7 == 6)).alias("_header"),
+    )
+    heads = rows.filter("_header").select("folder", "file").distinct()
+    heads = heads.select("folder", "file", F.lit(-1).cast("long").alias("event_id"), F.lit("index;time;zone;a;b;c;moist").alias("value"))
+    return rows.drop("_header").unionByName(heads)
+
+
+def written_logger_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder tree with the files of :func:`logger_file_lines` and sidecars of some, written in the stage folder."""
+    lines = logger_file_lines(spark, sf_dir)
+    names = lines.select("folder", "file").distinct()
+    number = F.regexp_extract("file", r"_(\d+)_", 1).cast("long")
+    sidecars = names.select(
+        "folder",
+        F.inline(
+            F.array(
+                F.struct(F.regexp_replace("file", "data_", "binary_").alias("file"), (number % 2 == 0).alias("_has")),
+                F.struct(F.regexp_replace("file", "data_", "command_").alias("file"), (number % 3 == 0).alias("_has")),
+                F.struct(F.regexp_replace("file", r"data_(\d+)_0", "command_$1_9").alias("file"), (number % 5 == 0).alias("_has")),
+            )
+        ),
+    )
+    sidecars = sidecars.filter("_has").select("folder", "file", F.lit(0).cast("long").alias("event_id"), F.lit("x").alias("value"))
+    root = new_stage_path(spark)
+    ordered = lines.unionByName(sidecars).repartition("file").sortWithinPartitions("folder", "file", "event_id")
+    ordered.select("folder", "file", "value").write.partitionBy("folder", "file").text(root)
+    return root
+
+
 def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinates of the ten sites, one of them missing."""
     s = site_of()

@@ -4,25 +4,130 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from frostline.functions.scalars import logger_id_from_path, normalise_time_text, parse_decimal_comma, parse_logger_time
+from frostline.functions.scalars import (
+    DAY_FIRST,
+    YEAR_FIRST,
+    logger_id_from_path,
+    normalise_time_text,
+    parse_decimal_comma,
+    parse_logger_time,
+)
 from frostline.operators.dedup import keep_last
+from frostline.session import stage
 
 MIN_ROWS = 100
+FIELDS = 7
 # Accepted column separators of a logger file.
 SEPARATORS = ";,\t"
 
 
+def logical_path(path: Column) -> Column:
+    """Path of a logger file; one that Spark wrote is a folder ``name=<file>`` of parts, and the folder is the file."""
+    return F.regexp_replace(F.regexp_replace(path, r"/part-[^/]*$", ""), "/[^/=]+=", "/")
+
+
 def read_logger_lines(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "data_*") -> DataFrame:
-    """Lines of all matching files below ``paths``, with the file they come from."""
+    """Lines of all matching files below ``paths``, with the file they come from and their place ``at`` in it."""
+    place = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
     return (
         spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .text(paths)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
+        .select(
+            logical_path(F.col("_metadata.file_path")).alias("path"),
+            "value",
+            F.struct(*[c.alias(n) for c, n in zip(place, ("part", "block", "line"), strict=True)]).alias("at"),
+        )
+    )
+
+
+def file_layouts(lines: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """One row per file: ``path, n_rows, sep, year_first, reject``.
+
+    The lines of a file's first block vote for its separator, by having seven fields, and then for the order of its
+    dates; ties go to the semicolon and to the year. One aggregate over the path, combined before the shuffle, so a file
+    with a third of all lines is no burden. ``reject`` is ``header`` for a file whose first field is no row index, ``short``
+    for one of ``min_rows`` rows or fewer, else null.
+    """
+    first = F.col("at.block") == 0
+    votes = []
+    for k, sep in enumerate(SEPARATORS):
+        fields = F.split("value", sep)
+        time = normalise_time_text(F.trim(F.get(fields, F.lit(1))))
+        full = first & (F.size(fields) >= FIELDS)
+        votes += [
+            F.count_if(full).alias(f"n{k}"),
+            F.count_if(full & time.rlike(YEAR_FIRST)).alias(f"y{k}"),
+            F.count_if(full & time.rlike(DAY_FIRST)).alias(f"d{k}"),
+        ]
+    counted = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"), F.min_by("value", "at").alias("_first"), *votes)
+    most = F.greatest(*[F.col(f"n{k}") for k in range(len(SEPARATORS))])
+    sep, year = F.lit(SEPARATORS[0]), F.col("y0") >= F.col("d0")
+    for k in reversed(range(len(SEPARATORS))):
+        sep = F.when(F.col(f"n{k}") == most, F.lit(SEPARATORS[k])).otherwise(sep)
+        year = F.when(F.col(f"n{k}") == most, F.col(f"y{k}") >= F.col(f"d{k}")).otherwise(year)
+    laid = counted.select("path", "n_rows", sep.alias("sep"), year.alias("year_first"), "_first")
+    index = F.get(F.split("_first", F.col("sep")), F.lit(0)).try_cast("long")
+    reject = F.when(F.col("n_rows") <= min_rows, "short").when(index.isNull(), "header")
+    return laid.select("path", "n_rows", "sep", "year_first", reject.alias("reject"))
+
+
+def parse_by_layout(lines: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Every line of the files that are not rejected, parsed as its file is laid out, with the ``reason`` if it is no reading.
+
+    ``fields``: fewer than seven; ``time``: the time doesn't fit the file's layout or no calendar. Times are UTC without zone.
+    """
+    good = layouts.filter("reject IS NULL").select("path", "sep", "year_first")
+    v = lines.select("path", "value").join(good, "path").withColumn("_v", F.split("value", F.col("sep")))
+    field = [F.get("_v", F.lit(i)) for i in range(FIELDS)]
+    text = normalise_time_text(F.trim(field[1]))
+    iso = F.when(F.col("year_first") & text.rlike(YEAR_FIRST), F.regexp_replace(text, YEAR_FIRST, "$1-$2-$3 $4")).when(
+        ~F.col("year_first") & text.rlike(DAY_FIRST), F.regexp_replace(text, DAY_FIRST, "$3-$2-$1 $4")
+    )
+    parsed = v.select(
+        "path",
+        "value",
+        field[0].try_cast("long").alias("row"),
+        text.alias("V2"),
+        logger_id_from_path(F.col("path")).alias("tomst_id"),
+        iso.try_cast("timestamp_ntz").alias("datetime"),
+        field[2].try_cast("int").alias("zone"),
+        *[parse_decimal_comma(field[3 + k]).alias(f"T{k + 1}") for k in range(3)],
+        field[6].try_cast("double").alias("moist"),
+        (F.size("_v") < FIELDS).alias("_short"),
+    )
+    reason = F.when(F.col("_short"), "fields").when(F.col("datetime").isNull(), "time")
+    return parsed.withColumn("reason", reason).drop("_short")
+
+
+def readings_and_rejects(lines: DataFrame, min_rows: int = MIN_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Readings of logger files, and what was left out: ``path, row, reason, n_rows``.
+
+    A file is rejected whole with one row (``row`` null), a line by itself. Of repeated times in a file the row of the
+    greatest index stays. Layouts are staged, so the lines are read twice: once for the layouts, once to parse.
+    """
+    layouts = stage(file_layouts(lines, min_rows))
+    parsed = parse_by_layout(lines, layouts)
+    good = parsed.filter("reason IS NULL")
+    readings = keep_last(good, ["path", "V2"], [F.col("row")]).select(
+        "path", "row", "tomst_id", "datetime", "zone", "T1", "T2", "T3", "moist"
     )
+    files = layouts.filter("reject IS NOT NULL").select("path", F.lit(None).cast("long").alias("row"), F.col("reject").alias("reason"), "n_rows")
+    rows = parsed.filter("reason IS NOT NULL").select("path", "row", "reason", F.lit(1).cast("long").alias("n_rows"))
+    return readings, files.unionByName(rows)
+
+
+def list_files(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*") -> DataFrame:
+    """The manifest of a folder tree: ``path, bytes, modified`` per file, without reading any content.
+
+    Spark lists the folders as tasks; parts of one file that Spark wrote count as one.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(paths)
+    parts = found.select(logical_path(F.col("path")).alias("path"), "length", "modificationTime")
+    return parts.groupBy("path").agg(F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified"))
 
 
 def split_logger_lines(lines: DataFrame) -> DataFrame:

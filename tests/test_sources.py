@@ -1,11 +1,12 @@
 """Readers: time zones, NaN, round trips; nulls in repeated readings."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from frostline.config import SENSORS
 from frostline.functions.scalars import parse_decimal_comma
 from frostline.operators.dedup import keep_first, measured_first
 from frostline.session import drop_stages, new_stage_path, stage, stage_folder
+from frostline.sources.logger_files import file_layouts, list_files, read_logger_lines, readings_and_rejects
 from frostline.sources.tables import read_csv, read_stage, write_csv, write_stage
 from pyspark.sql import functions as F
 
@@ -49,3 +50,59 @@ def test_stages_can_be_dropped(spark):
     assert os.listdir(folder)
     drop_stages(spark)
     assert not os.path.exists(folder)
+
+
+def write_logger(folder, name, lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def test_layout_of_each_file_and_rejects(spark, tmp_path):
+    """Four layouts, a header, a short file, rows that fit no layout and rows that fit the layout of another file."""
+    stamp = lambda i, form: (datetime(2023, 2, 3) + timedelta(minutes=15 * i)).strftime(form)
+    forms = {"1": (";", "%Y.%m.%d %H:%M", "{},5"), "2": ("\t", "%d.%m.%Y %H:%M:%S", "{},5"), "3": (",", "%Y/%m/%d %H:%M:%S", "{}.5"), "4": (";", "%d/%m/%Y %H:%M", "{},5")}
+    for k, (sep, form, number) in forms.items():
+        rows = [sep.join([str(i), stamp(i, form), "4", *[number.format(i % 7)] * 3, str(i + 200), "202"]) for i in range(120)]
+        rows[7] = sep.join(["7", "rubbish", "4"])
+        rows[8] = sep.join(["8", "2023.13.45 00:00" if k in "13" else "45.13.2023 00:00", "4", "1", "2", "3", "4"])
+        rows[9] = sep.join(["9", stamp(9, "%d.%m.%Y %H:%M" if k in "13" else "%Y.%m.%d %H:%M"), "4", "1", "2", "3", "4"])
+        rows[10] = sep.join(["10", stamp(11, form), "4", *[number.format(99)] * 3, "1"])  # row 11 has the same time and wins
+        write_logger(tmp_path / f"site{k}" / "deep", f"data_9400000{k}_x_0.csv", rows)
+    write_logger(tmp_path / "h", "data_94000005_0.csv", ["index;time;zone;a;b;c;d", *[f"{i};{stamp(i, '%Y.%m.%d %H:%M')};4;1;2;3;4" for i in range(150)]])
+    write_logger(tmp_path / "s", "data_94000006_0.csv", [f"{i};{stamp(i, '%Y.%m.%d %H:%M')};4;1;2;3;4" for i in range(100)])
+    write_logger(tmp_path / "e", "data_94000007_0.csv", ["x"] * 101)
+    write_logger(tmp_path / "s", "binary_94000006_0.csv", ["x"])
+    lines = read_logger_lines(spark, str(tmp_path))
+    layouts = {r.path[-10]: r for r in file_layouts(lines).collect() if "_x_" in r.path}
+    assert len(layouts) == 1 and {(r.sep, r.year_first, r.reject) for r in file_layouts(lines).collect() if "_x_" in r.path} == {(";", True, None), ("\t", False, None), (",", True, None), (";", False, None)}
+    readings, rejects = readings_and_rejects(lines)
+    rows = readings.collect()
+    assert sorted({r.tomst_id for r in rows}) == [94000001, 94000002, 94000003, 94000004] and len(rows) == 4 * 116
+    for r in rows:
+        assert r.datetime == datetime(2023, 2, 3) + timedelta(minutes=15 * r.row) and r.T1 == r.T2 == r.T3 == r.row % 7 + 0.5 and r.moist == r.row + 200
+    assert 11 in {r.row for r in rows} and not {7, 8, 9, 10} & {r.row for r in rows}
+    found = sorted((r.path.rsplit("data_", 1)[1][:8], r.row, r.reason, r.n_rows) for r in rejects.filter("row IS NOT NULL").collect())
+    assert found == [(f"9400000{k}", row, reason, 1) for k in "1234" for row, reason in ((7, "fields"), (8, "time"), (9, "time"))]
+    whole = {(r.path.rsplit("data_", 1)[1][:8], r.reason, r.n_rows) for r in rejects.filter("row IS NULL").collect()}
+    assert whole == {("94000005", "header", 151), ("94000006", "short", 100), ("94000007", "header", 101)}
+
+
+def test_parts_of_a_written_file_are_one_file(spark, tmp_path):
+    rows = [("s1", "data_94000001_0.csv", f"{i};2023.01.{1 + i // 24:02d} {i % 24:02d}:00;4;1;2;3;4") for i in range(240)]
+    df = spark.createDataFrame(rows, "folder string, file string, value string").repartition(3)
+    df.write.partitionBy("folder", "file").text(str(tmp_path / "tree"))
+    lines = read_logger_lines(spark, str(tmp_path / "tree"), "part-*")
+    readings, rejects = readings_and_rejects(lines)
+    assert readings.count() == 240 and rejects.count() == 0 and readings.select("path").distinct().count() == 1
+    listed = list_files(spark, str(tmp_path / "tree"), "part-*").collect()
+    assert [(r.path.endswith("/s1/data_94000001_0.csv"), r.bytes) for r in listed] == [(True, sum(len(v) + 1 for _, _, v in rows))]
+
+
+def test_listing_reads_no_content(spark, tmp_path):
+    write_logger(tmp_path / "a" / "b", "data_1_0.csv", ["x" * 5])
+    write_logger(tmp_path / "a", "binary_1_0.csv", [])
+    found = list_files(spark, str(tmp_path))
+    assert sorted((r.path.split(str(tmp_path))[1], r.bytes) for r in found.collect()) == [("/a/b/data_1_0.csv", 6), ("/a/binary_1_0.csv", 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<" in plan and "content" not in plan.split("ReadSchema: ")[1].split(">")[0]
+    assert all(r.modified is not None for r in found.collect())
