@@ -463,6 +463,34 @@ add(
     filled("rl", "tomst_id", ["site", "probl"], VALUES),
 )
 add("fill_gaps_site", HF, filled("rh", "site", ["tomst_id", "error_tomst"], VALUES))
+CTES["file_registry"] = """SELECT DISTINCT 'S' || (n % 7) AS site, 94000000 + n AS tomst_id,
+    CASE WHEN n % 5 <> 2 THEN TIMESTAMP '2023-06-01' + to_hours(n) END AS maxdt FROM (SELECT user_id // 5 AS n FROM events) WHERE n % 11 <> 3"""
+CTES["file_errors"] = """SELECT DISTINCT 'S' || (user_id // 5 % 7) AS site, 94000000 + user_id // 5 AS tomst_id, CAST(ts AS DATE) AS start_date,
+    CAST(ts AS DATE) + CAST(event_id % 3 AS INT) AS end_date, event_id % 11 AS probl, event_id % 2 AS new FROM events
+    WHERE event_type = 'error' AND event_id % 16 < 2"""
+CTES["file_readings"] = """SELECT s.site, r.logger AS tomst_id, r.stamp AS datetime, r.value AS T1, r.value AS T2, r.value AS T3,
+    CAST(r.event_id % 4000 AS DOUBLE) AS moist FROM (SELECT *, row_number() OVER (PARTITION BY file, stamp ORDER BY event_id DESC) AS k FROM file_lines
+     WHERE reason IS NULL AND file IN (SELECT file FROM file_kinds WHERE reject IS NULL)) r
+    LEFT JOIN (SELECT DISTINCT site, tomst_id FROM file_registry) s ON s.tomst_id = r.logger WHERE k = 1"""
+CTES["file_labelled"] = """SELECT r.*, coalesce((SELECT min(nullif(l.probl, 0)) FROM file_errors l WHERE l.site = r.site AND l.tomst_id = r.tomst_id
+    AND CAST(r.datetime AS DATE) BETWEEN l.start_date AND l.end_date), 0) AS probl FROM file_readings r
+    WHERE site IS NOT NULL AND datetime > DATE '2018-06-01' AND datetime < DATE '2024-01-25'"""
+CTES["file_regular"] = filled("file_labelled", "tomst_id", ["site", "probl"], VALUES)
+CTES["file_kept"] = f"""SELECT site, datetime, tomst_id, {", ".join(VALUES)}, probl AS error_tomst FROM
+    (SELECT *, count(*) OVER (PARTITION BY tomst_id, minute(datetime)) / CAST(count(*) OVER (PARTITION BY tomst_id) AS DOUBLE) AS share
+     FROM file_regular WHERE probl <> 2) WHERE share >= 0.0001 QUALIFY row_number() OVER (PARTITION BY site, datetime ORDER BY tomst_id) = 1"""
+add("stage02_raw", HF, filled("file_kept", "site", ["tomst_id", "error_tomst"], VALUES))
+NEWEST = "SELECT * FROM file_registry UNION SELECT site, tomst_id, max(datetime) AS maxdt FROM file_readings GROUP BY site, tomst_id"
+add("stage02_registry", "site:s,tomst_id:i,maxdt:t", f"SELECT * FROM ({NEWEST}) AS newest WHERE site IS NOT NULL AND maxdt IS NOT NULL")
+add("stage02_registry_keeping_nulls", "site:s,tomst_id:i,maxdt:t", NEWEST)
+add("stage02_ledger", "site:s,tomst_id:i,start_date:D,end_date:D,probl:i", "SELECT DISTINCT * FROM file_errors WHERE new = 1")
+add(
+    "stage02_bias",
+    "tomst_id:i,T1:d,T2:d,T3:d",
+    """SELECT DISTINCT 94000000 + n AS tomst_id, (n % 7 - 3) / 16e0 AS T1, (n % 3 - 1) / 8e0 AS T2, (n % 5 - 2) / 32e0 AS T3
+       FROM (SELECT user_id // 5 AS n FROM events) WHERE n % 2 = 0 AND n % 3 <> 0""",
+)
+ORACLE["stage02_rejects"] = ORACLE["scan_rejects"]
 CTES["exact"] = "SELECT user_id, date_trunc('second', ts)::TIMESTAMP AS datetime, max(value) AS value FROM events GROUP BY ALL"
 add("fill_gaps_seconds", "user_id:i,datetime:t,value:d", filled("exact", "user_id", [], ["value"]))
 add(

@@ -8,22 +8,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from frostline.config import AREAS, ERROR_CODES, PEAK_RULES, PLAUSIBLE, SENSORS, Area
-from frostline.operators.bias import apply_bias
+from frostline.operators.bias import apply_bias, extend_bias
 from frostline.operators.dedup import first_reading, keep_first, measured_first, merge_archive
 from frostline.operators.gaps import fill_gaps_logger, fill_gaps_site
 from frostline.operators.impute import impute_forest, impute_series
-from frostline.operators.ledger import drop_not_in_field, label_errors
+from frostline.operators.ledger import drop_not_in_field, label_errors_bins, ledger_update
 from frostline.operators.masks import mask_codes, mask_visits_and_range
 from frostline.operators.moisture import calibrate, moisture_indices
 from frostline.operators.peaks import flag_peaks, mask_peaks
 from frostline.operators.quality import drop_stray_minutes, plausible_dates
-from frostline.operators.registry import assign_site, assign_site_from_map
+from frostline.operators.registry import assign_site, assign_site_from_map, registry_update
 from frostline.operators.resample import dense_grid, regularise
 from frostline.operators.snow import snow_indices
 from frostline.operators.thermal import temperature_indices
 from frostline.session import stage
 
 
+def _area(area: Area | str) -> Area:
+    return AREAS[area] if isinstance(area, str) else area
+
+
+def _assigned(readings: DataFrame, sites: DataFrame, area: Area) -> DataFrame:
+    assign = assign_site if area.site_source == "registry" else assign_site_from_map
+    return assign(first_reading(readings), sites)
+
+
+def _labelled(assigned: DataFrame, ledger: DataFrame, area: Area, chunk: Column | None) -> DataFrame:
+    """Regular stamps per logger, with the error code of each day."""
+    df = plausible_dates(assigned.filter("site is not null"), area.first_day, area.last_day)
+    return stage(fill_gaps_logger(stage(label_errors_bins(df, ledger)), chunk=chunk))
+
+
+def _raw(labelled: DataFrame, archive: DataFrame | None, chunk: Column | None) -> DataFrame:
+    df = drop_stray_minutes(drop_not_in_field(labelled)).drop("zone").withColumnRenamed("probl", "error_tomst")
+    if archive is not None:
+        df = merge_archive(archive, df).drop("datanew")
+    else:
+        df = keep_first(df, ["site", "datetime"], [F.col("tomst_id"), *measured_first(*SENSORS)])
+    return fill_gaps_site(stage(df), chunk=chunk)
+
+
 def raw_table(
     readings: DataFrame,
     registry: DataFrame,
@@ -36,17 +60,41 @@ def raw_table(
 
     ``registry`` is the reading-time registry, or the site map for areas that use one.
     """
-    area = AREAS[area] if isinstance(area, str) else area
-    df = first_reading(readings)
-    df = assign_site(df, registry) if area.site_source == "registry" else assign_site_from_map(df, registry)
-    df = plausible_dates(df.filter("site is not null"), area.first_day, area.last_day)
-    df = stage(fill_gaps_logger(stage(label_errors(df, ledger)), chunk=chunk))
-    df = drop_stray_minutes(drop_not_in_field(df)).drop("zone").withColumnRenamed("probl", "error_tomst")
-    if archive is not None:
-        df = merge_archive(archive, df).drop("datanew")
-    else:
-        df = keep_first(df, ["site", "datetime"], [F.col("tomst_id"), *measured_first(*SENSORS)])
-    return fill_gaps_site(stage(df), chunk=chunk)
+    area = _area(area)
+    return _raw(_labelled(_assigned(readings, registry, area), ledger, area, chunk), archive, chunk)
+
+
+def acquire(
+    readings: DataFrame,
+    rejects: DataFrame,
+    registry: DataFrame,
+    ledger: DataFrame,
+    new_ledger: DataFrame,
+    bias: DataFrame,
+    area: Area | str,
+    site_map: DataFrame | None = None,
+    archive: DataFrame | None = None,
+    chunk: Column | None = None,
+) -> dict[str, DataFrame]:
+    """The whole second stage of an area: ``raw, registry, ledger, bias, rejects``, by the area's own policy.
+
+    The registry gains the newest reading of each logger, the ledger its new intervals (or is replaced by them), and the
+    bias table estimates for loggers that have none; areas differ in whether rows with nulls stay. Sites come from the
+    registry as it was, or from ``site_map`` where the area uses one. Publish the result with
+    :func:`frostline.sources.published.publish`.
+    """
+    area = _area(area)
+    sites = registry if area.site_source == "registry" else site_map
+    assigned = stage(_assigned(readings, sites, area))
+    book = ledger_update(ledger, new_ledger, area.ledger_replaces)
+    labelled = _labelled(assigned, book, area, chunk)
+    return {
+        "raw": _raw(labelled, archive, chunk),
+        "registry": registry_update(registry, assigned, area.registry_drops_null),
+        "ledger": book,
+        "bias": extend_bias(bias, labelled, drop_null=area.bias_drops_null),
+        "rejects": rejects,
+    }
 
 
 def unassigned_readings(readings: DataFrame, registry: DataFrame, area: Area | str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frostline import config
+from frostline.config import AREAS
 from frostline.functions import scalars
 from frostline.functions.nulls import strict_quantile, thermal_sum
 from frostline.functions.stats import STAT_NAMES, bundle_aggregates, bundle_columns
@@ -36,7 +38,8 @@ from frostline.operators import (
     thermal,
 )
 from frostline.plans import pipelines, standins as st
-from frostline.sources import logger_files
+from frostline.session import new_stage_path
+from frostline.sources import logger_files, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,6 +145,58 @@ def written_file_layouts(spark, d):
     return logger_files.file_layouts(_written_lines(spark, d)).select(_file(), "n_rows", F.when(F.col("sep") == "\t", "tab").otherwise(F.col("sep")).alias("sep"), "year_first", "reject")
 
 
+AREA_OF_FILES = {c: replace(AREAS[c], last_day="2024-01-25") for c in ("MAT", "EVO", "PAL")}
+
+
+def _second_stage(spark, d, code, name):
+    """Files to the published tables of an area, and one of them read again."""
+    readings, rejects = _scanned(spark, d)
+    registry = st.file_registry(spark, d)
+    tables = pipelines.acquire(
+        readings.drop("path", "row"),
+        rejects.select(_file(), "row", "reason", "n_rows"),
+        registry,
+        st.file_ledger(spark, d, False),
+        st.file_ledger(spark, d, True),
+        st.file_bias(spark, d),
+        AREA_OF_FILES[code],
+        site_map=registry.select("site", "tomst_id"),
+    )
+    root = new_stage_path(spark)
+    published.publish(spark, tables, root, code)
+    return published.read_published(spark, root, code, name)
+
+
+@query
+def stage02_raw(spark, d):
+    return _second_stage(spark, d, "MAT", "raw")
+
+
+@query
+def stage02_registry(spark, d):
+    return _second_stage(spark, d, "PAL", "registry")
+
+
+@query
+def stage02_registry_keeping_nulls(spark, d):
+    return _second_stage(spark, d, "EVO", "registry")
+
+
+@query
+def stage02_ledger(spark, d):
+    return _second_stage(spark, d, "EVO", "ledger")
+
+
+@query
+def stage02_bias(spark, d):
+    return _second_stage(spark, d, "PAL", "bias")
+
+
+@query
+def stage02_rejects(spark, d):
+    return _second_stage(spark, d, "MAT", "rejects")
+
+
 # --------------------------------------------------- manifest and registry (B)
 
 

@@ -283,6 +283,38 @@ def written_logger_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def file_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of most loggers of the written files; some rows have no reading time."""
+    n = F.floor(F.col("user_id") / 5).cast("long")
+    last = F.timestamp_add("HOUR", n, F.lit("2023-06-01").cast("timestamp_ntz"))
+    rows = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("S"), (n % 7).cast("string")).alias("site"), (94000000 + n).alias("tomst_id"), F.when(n % 5 != 2, last).alias("maxdt"), n.alias("n")
+    )
+    return rows.filter("n % 11 <> 3").drop("n").distinct()
+
+
+def file_ledger(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
+    """Intervals with a code for loggers of the written files: the old half, or the new one."""
+    n, e, day = F.floor(F.col("user_id") / 5).cast("long"), F.col("event_id"), F.to_date("ts")
+    rows = table(spark, sf_dir, "events").filter((F.col("event_type") == "error") & (e % 2 == int(new)) & (e % 16 < 2))
+    return rows.select(
+        F.concat(F.lit("S"), (n % 7).cast("string")).alias("site"),
+        (94000000 + n).alias("tomst_id"),
+        day.alias("start_date"),
+        F.date_add(day, (e % 3).cast("int")).alias("end_date"),
+        (e % 11).cast("int").alias("probl"),
+    ).distinct()
+
+
+def file_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets of half the loggers of the written files, some without T2."""
+    n = F.floor(F.col("user_id") / 5).cast("long")
+    rows = table(spark, sf_dir, "events").filter(n % 2 == 0)
+    return rows.select(
+        (94000000 + n).alias("tomst_id"), ((n % 7 - 3) / 16).alias("T1"), F.when(n % 3 != 0, (n % 3 - 1) / 8).alias("T2"), ((n % 5 - 2) / 32).alias("T3")
+    ).distinct()
+
+
 def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coordinates of the ten sites, one of them missing."""
     s = site_of()
