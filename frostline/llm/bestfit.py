@@ -10,76 +10,122 @@ grows until sequences empty. The search ends when no fewer sequences can hold th
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frostline.llm.text import coded_words, pieces, small_batches
+from frostline.llm.text import pieces, small_batches, utf8
 from frostline.session import stage
 
 GROUP_TOKENS = 1 << 24  # that are packed together
 
 
-#: How the tokenizer splits lower-case printable ASCII without white space.
-ASCII_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+def _kinds() -> np.ndarray:
+    """Kind of each byte: white space, letter, digit or other; lead and second bytes of the letters À to ÿ are letters."""
+    kind = np.full(256, OTHER, dtype=np.uint8)
+    kind[[0x20, *range(9, 14)]] = SPACE
+    kind[[*range(65, 91), *range(97, 123), *range(0x80, 0x100)]] = LETTER
+    kind[48:58] = DIGIT
+    return kind
+
+
+SPACE, LETTER, DIGIT, OTHER, WHOLE = range(5)
+KINDS = _kinds()
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it is printable, else one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space: each distinct chunk between white space is encoded once.
+    """Ids of texts by a tokenizer that drops white space and lowers case: each distinct part is encoded once.
 
-    Chunks of printable ASCII without a mark that could be a special token are split here, and each distinct part is
-    encoded once; the tokenizer itself encodes all others. ``known`` chunks and parts are remembered, and forgotten when
-    they get too many.
+    Chunks between white space of printable ASCII and the letters À to ÿ are split here into words, digits and the rest,
+    as the tokenizer does. Chunks with an apostrophe, with what could be a special token or with other letters are left
+    whole to the tokenizer. ``known`` parts are remembered, and forgotten when they get too many.
     """
 
-    def __init__(self, path: str, known: int = 300_000):
+    def __init__(self, path: str, known: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), known
-        self.model = self.tokenizer.model
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
         self.ids, self.begin, self.size = (np.zeros(0, t) for t in (np.uint32, np.int64, np.int64))
 
-    def _part(self, part: str) -> list[int]:
-        if (ids := self.parts.get(part)) is None:
-            ids = self.parts[part] = [t.id for t in self.model.tokenize(part)]
-        return ids
-
-    def _learn(self, chunks: list[str]) -> None:
-        plain = [c.isascii() and c.isprintable() and "<|" not in c for c in chunks]
-        whole = iter(self.tokenizer.encode_batch([c for c, p in zip(chunks, plain, strict=True) if not p], add_special_tokens=False))
-        own = [[i for x in ASCII_PARTS.findall(c.lower()) for i in self._part(x)] if p else next(whole).ids for c, p in zip(chunks, plain, strict=True)]
+    def _encoded(self, part: str) -> list[int]:
+        if not part.strip(" \t\n\v\f\r"):
+            return []
+        if part.isascii():
+            if part.isprintable() and "'" not in part and "<|" not in part:
+                return [t.id for t in self.model.tokenize(part)]
+        elif part.isalpha() and part.islower() and all(c.isascii() or "ß" <= c <= "ÿ" for c in part):
+            return [t.id for t in self.model.tokenize("".join([self.letters[x] for x in part.encode()]))]
+        return self.tokenizer.encode(part, add_special_tokens=False).ids
+
+    def _learn(self, parts: list[str]) -> None:
+        own = [self._encoded(x) for x in parts]
         n = np.array([len(x) for x in own], dtype=np.int64)
-        self.place.update(zip(chunks, range(len(self.place), len(self.place) + len(chunks)), strict=True))
+        self.place.update(zip(parts, range(len(self.place), len(self.place) + len(parts)), strict=True))
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(n) - n])
         self.size = np.concatenate([self.size, n])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in own for i in x), np.uint32, int(n.sum()))])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(own), np.uint32, int(n.sum()))])
+
+    @staticmethod
+    def _parts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The texts with plain chunks in lower case, and where their parts begin; runs of white space are parts too."""
+        kind = KINDS[data]
+        before, after = np.concatenate([[0], data[:-1]]), np.concatenate([data[1:], [0]])
+        second = (before == 0xC3) & (data >= 0x80) & (data <= 0xBF)
+        lead = (data == 0xC3) & (after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)
+        letter = second & (data != 0x97) & (data != 0xB7)
+        strange = (data >= 0x80) & ~lead & ~letter | (data < 0x20) & (kind != SPACE) | (data == 0x7F) | (data == 0x27) | (data == 0x3C) & (after == 0x7C)
+        inside = kind != SPACE
+        text = np.zeros(len(data), dtype=bool)
+        text[offsets[:-1][np.diff(offsets) > 0]] = True
+        chunk = np.cumsum(inside & (np.concatenate([[True], ~inside[:-1]]) | text))
+        whole = np.zeros(int(chunk[-1]) + 1, dtype=bool)
+        whole[chunk[strange]] = True
+        whole = whole[chunk] & inside
+        upper = ((data >= 65) & (data <= 90) | letter & (data <= 0x9E)) & ~whole
+        kind[whole] = WHOLE
+        first = text | (kind == DIGIT)
+        first[1:] |= kind[1:] != kind[:-1]
+        return data + upper.astype(np.uint8) * np.uint8(32), np.flatnonzero(first)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and the number of each text's; null texts have none."""
-        rows, codes, chunks = coded_words(texts, lower=False)
-        if not len(rows):
+        data, offsets = utf8(texts)
+        if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        distinct = chunks.to_pylist()
+        low, starts = self._parts(data, offsets)
+        bounds = np.append(starts, len(data)).astype(np.int32)
+        parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(bounds.tobytes()), pa.py_buffer(low.tobytes()))
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         if len(self.place) + len(distinct) > self.most:
             self._forget()
         if new := [c for c in distinct if c not in self.place]:
             self._learn(new)
-        which = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))[codes]
+        known = np.fromiter(map(self.place.__getitem__, distinct), np.int64, len(distinct))
+        which = known[coded.indices.to_numpy(zero_copy_only=False)]
         size = self.size[which]
         flat = self.ids[np.repeat(self.begin[which] - np.cumsum(size) + size, size) + np.arange(size.sum())]
-        return flat, np.bincount(rows, weights=size, minlength=len(texts)).astype(np.int64)
+        total = np.concatenate([[0], np.cumsum(size)])
+        return flat, np.diff(total[np.searchsorted(starts, offsets)])
 
 
 @lru_cache(maxsize=1)

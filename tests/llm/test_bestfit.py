@@ -64,7 +64,7 @@ def test_nothing(spark):
 
 def test_chunks_give_the_ids_of_whole_texts():
     rng = np.random.default_rng(8)
-    marks = ["'", "'s", "'RE", "<|", "|>", "<|endoftext|>", "A", "bc", "7", "42", "--", "_", ".", "É", "ß", "\x1c", "\x7f", " ", "\u0301", "the", "ING"]
+    marks = ["'", "'s", "'RE", "<|", "|>", "<|endoftext|>", "A", "bc", "7", "42", "--", "_", ".", "É", "ß", "Ñandú", "×", "÷", "µ", "º", "Āā", "\xa0", "\x85", "ÿÞ", "Σς", "<", "|", "  ","\x1c", "\x7f", " ", "\u0301", "the", "ING"]
     texts = [t for _, t in ODD] + ["".join(rng.choice(marks, size=12)) for _ in range(3000)]
     small = bestfit.WordEncoder(_tokenizer("word_bpe_49k.json"), known=3)
     for encode in (bestfit.encoder(_tokenizer("word_bpe_49k.json")), small):
