@@ -76,15 +76,21 @@ def pmm_match(
 POISSON = (0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759)
 
 
-def bag_weight(time: Column, seed: int, *names: int) -> Column:
-    """How often a bag holds the row of a time: a Poisson draw by a hash, the same in every run and on every executor."""
-    u = F.pmod(F.xxhash64(F.lit(seed), *map(F.lit, names), time), F.lit(1 << 30)) / float(1 << 30)
+def bag_weight(time: Column, group: int, groups: int, seed: int, site: int) -> Column:
+    """How often the bag of a group holds the row of a time: a Poisson draw of mean 1 by hashes, the same in every run.
+
+    Draws are stratified: one group, chosen by a hash of the time, draws from the lowest of ``groups`` equal parts, the
+    others from the rest. With three groups or more that lowest part means zero, so every row is out of some bag.
+    """
+    rest = F.pmod(F.xxhash64(F.lit(seed), F.lit(site), time), F.lit(groups)) == group
+    u = F.pmod(F.xxhash64(F.lit(seed), F.lit(site), F.lit(group), time), F.lit(1 << 30)) / float(1 << 30)
+    u = F.when(rest, u / groups).otherwise(1.0 / groups + u * (1.0 - 1.0 / groups)) if groups > 1 else u
     return reduce(lambda n, bound: n + (u >= bound).cast("int"), POISSON, F.lit(0))
 
 
 def _group_sizes(trees: int, group: int) -> list[int]:
-    """Trees of each group: as even as can be, ``group`` at most."""
-    groups = max(1, -(-trees // group))
+    """Trees of each group: as even as can be, ``group`` at most, and three groups at least if there are trees for them."""
+    groups = max(min(3, trees), -(-trees // group))
     return [trees // groups + (g < trees % groups) for g in range(groups)]
 
 
@@ -92,7 +98,7 @@ def grow_site(
     table: DataFrame, i: int, inputs: Sequence[str], trees: Sequence[int], max_depth: int, leaf: int, seed: int, time: str, parallel: int
 ) -> DataFrame:
     """``time, o, p, oob`` of one site: what is observed, the forest's prediction, and that of the trees that have not
-    seen the cell (null where the cell is not observed or all groups have seen it).
+    seen the cell (null where it is not observed, or where there are fewer than three groups and all have seen it).
 
     Each group of trees learns from its own bag of the observed rows; its predictions are written and its model is
     dropped, so the driver holds ``parallel`` groups at most, never a forest.
@@ -100,7 +106,7 @@ def grow_site(
     ready = VectorAssembler(inputCols=list(inputs), outputCol="_features").transform(table)
 
     def predicted(g: int) -> DataFrame:
-        rows = ready.withColumn("_w", bag_weight(F.col(time), seed, i, g).cast("double"))
+        rows = ready.withColumn("_w", bag_weight(F.col(time), g, len(trees), seed, i).cast("double"))
         forest = RandomForestRegressor(
             featuresCol="_features",
             labelCol=f"o_{i}",
@@ -113,6 +119,7 @@ def grow_site(
             minInstancesPerNode=leaf,
             featureSubsetStrategy="sqrt",
             maxMemoryInMB=512,
+            cacheNodeIds=True,
             seed=seed + 1009 * i + g,
         )
         model = forest.fit(rows.filter(F.col(f"o_{i}").isNotNull() & (F.col("_w") > 0)))
@@ -150,7 +157,7 @@ def impute_forest(
     time: str = "datetime",
     width: float = 0.5,
     leaf: int = 5,
-    group: int = 10,
+    group: int = 20,
     parallel: int = 8,
     most_leaves: int = 1 << 14,
 ) -> DataFrame:
