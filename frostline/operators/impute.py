@@ -79,12 +79,16 @@ POISSON = (0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.99
 def bag_weight(time: Column, group: int, groups: int, seed: int, site: int) -> Column:
     """How often the bag of a group holds the row of a time: a Poisson draw of mean 1 by hashes, the same in every run.
 
-    Draws are stratified: one group, chosen by a hash of the time, draws from the lowest of ``groups`` equal parts, the
-    others from the rest. With three groups or more that lowest part means zero, so every row is out of some bag.
+    Draws are stratified: of ``groups`` equal parts of the distribution one group, chosen by a hash of the time, draws from
+    the lowest, the next one from the highest, the others from the rest. With three groups or more the lowest part means
+    zero and the highest doesn't, so every row is out of some bag and in another.
     """
-    rest = F.pmod(F.xxhash64(F.lit(seed), F.lit(site), time), F.lit(groups)) == group
+    lot = F.pmod(F.xxhash64(F.lit(seed), F.lit(site), time), F.lit(groups))
     u = F.pmod(F.xxhash64(F.lit(seed), F.lit(site), F.lit(group), time), F.lit(1 << 30)) / float(1 << 30)
-    u = F.when(rest, u / groups).otherwise(1.0 / groups + u * (1.0 - 1.0 / groups)) if groups > 1 else u
+    if groups > 1:
+        part = 1.0 / groups
+        low, high = lot == group, lot == (group - 1) % groups
+        u = F.when(low, u * part).when(high, 1.0 - part + u * part).otherwise(part + u * (1.0 - 2 * part))
     return reduce(lambda n, bound: n + (u >= bound).cast("int"), POISSON, F.lit(0))
 
 

@@ -21,11 +21,12 @@ def test_every_row_is_out_of_some_bag(spark, groups):
     out = sum((F.col(f"w{g}") == 0).cast("int") for g in range(groups))
     stats = bags.agg(
         F.min(out).alias("least"),
+        F.max(out).alias("most"),
         F.avg(out).alias("mean_out"),
         *[F.avg(f"w{g}").alias(f"m{g}") for g in range(groups)],
         *[F.var_pop(f"w{g}").alias(f"v{g}") for g in range(groups)],
     ).first()
-    assert stats["least"] >= 1 and abs(stats["mean_out"] - 0.3679 * groups) < 0.1
+    assert stats["least"] >= 1 and stats["most"] < groups and abs(stats["mean_out"] - 0.3679 * groups) < 0.1
     assert all(abs(stats[f"m{g}"] - 1) < 0.08 and abs(stats[f"v{g}"] - 1) < 0.15 for g in range(groups))
     assert bags.collect() == times.repartition(7).select("t").orderBy("t").select(*[impute.bag_weight(F.col("t"), g, groups, 1, 2).alias(f"w{g}") for g in range(groups)]).collect()
 
