@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from frostline.config import PEAK_RULES, SENSORS, PeakRules
@@ -15,9 +15,9 @@ ROLL = 9
 SPREAD = 5
 
 
-def reference_series(df: DataFrame, sensors: Sequence[str] = SENSORS, time: str = "datetime") -> DataFrame:
-    """Mean and standard deviation over all sites at each time; nulls are skipped."""
-    return df.groupBy(time).agg(
+def reference_series(df: DataFrame, sensors: Sequence[str] = SENSORS, time: str = "datetime", by: Sequence[str] = ()) -> DataFrame:
+    """Mean and standard deviation over all sites (of each ``by``) at each time; nulls are skipped."""
+    return df.groupBy(*by, time).agg(
         *[F.avg(s).alias(f"{s}_mean") for s in sensors],
         *[F.stddev_samp(s).alias(f"{s}_sd") for s in sensors],
     )
@@ -65,34 +65,32 @@ def flag_peaks(
     time: str = "datetime",
     any_rule: bool = False,
     chunk: Column | None = None,
+    by: Sequence[str] = (),
+    cases: Sequence[tuple[Column, Mapping[str, PeakRules]]] = (),
 ) -> DataFrame:
     """Add ``<sensor>_peak`` (a rule fired) and ``<sensor>_masked`` (within two rows of a peak).
 
-    All sensors share one pass: the rolling mean reaches four rows, its spread two more.
+    All sensors share one pass: the rolling mean reaches four rows, its spread two more. ``by`` splits the network that the
+    reference series is taken from; ``cases`` are other rules for rows that meet a condition, the first that holds.
     """
     reach = ROLL // 2 + SPREAD // 2
     sensors = [s for s in sensors if s in df.columns]
-    joined = df.join(reference_series(df, sensors, time), time, "left").select(
+    joined = df.join(reference_series(df, sensors, time, by), [*by, time], "left").select(
         *df.columns, *[f"{s}_mean" for s in sensors], *[f"{s}_sd" for s in sensors]
     )
     halo = row_halo(joined, [site], time, reach, reach, chunk)
     w, wide, narrow = halo.window, halo.frame(ROLL // 2, ROLL // 2), halo.frame(SPREAD // 2, SPREAD // 2)
     out = halo.df.withColumns({f"_d_{s}": F.col(s) - F.col(f"{s}_mean") for s in sensors})
-    flags = {
-        f"{s}_peak": chain(
-            rule_conditions(
-                rules[s],
-                F.col(f"_d_{s}"),
-                F.col(f"{s}_sd"),
-                mean_excluding_middle(F.col(f"_d_{s}"), wide, ROLL),
-                F.col(s) - F.lag(s).over(w),
-                F.col(s) - F.lead(s).over(w),
-            ),
-            any_rule,
-        )
-        for s in sensors
-    }
-    out = out.withColumns(flags)
+
+    def flag(s: str) -> Column:
+        d, sd, roll = F.col(f"_d_{s}"), F.col(f"{s}_sd"), mean_excluding_middle(F.col(f"_d_{s}"), wide, ROLL)
+        steps = (F.col(s) - F.lag(s).over(w), F.col(s) - F.lead(s).over(w))
+        found = chain(rule_conditions(rules[s], d, sd, roll, *steps), any_rule)
+        for condition, other in reversed(cases):
+            found = F.when(condition, chain(rule_conditions(other[s], d, sd, roll, *steps), any_rule)).otherwise(found)
+        return found
+
+    out = out.withColumns({f"{s}_peak": flag(s) for s in sensors})
     out = out.withColumns(
         {f"{s}_masked": mask_hit(F.col(f"{s}_peak"), narrow, SPREAD) == 1 for s in sensors}
     )
@@ -101,6 +99,13 @@ def flag_peaks(
     )
 
 
+def observe_peaks(flagged: DataFrame, sensors: Sequence[str] = SENSORS) -> tuple[DataFrame, Observation]:
+    """The flagged rows, and the numbers of peaks per sensor that their first action counts on the way: no job of their own."""
+    seen = Observation()
+    counts = [F.count_if(F.col(f"{s}_peak")).alias(s) for s in sensors if f"{s}_peak" in flagged.columns]
+    return flagged.observe(seen, *counts), seen
+
+
 def mask_peaks(flagged: DataFrame, sensors: Sequence[str] = SENSORS) -> DataFrame:
     """Null the flagged readings and drop the flags."""
     sensors = [s for s in sensors if f"{s}_masked" in flagged.columns]

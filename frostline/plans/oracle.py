@@ -624,6 +624,28 @@ CTES["c_codes2"] = "SELECT site, tomst_id, datetime, CASE WHEN error_tomst <> 2
 CTES["c_plan2"] = plan("c_codes2")
 CTES["c_regular2"] = regular("c_codes2", ("T2",)).replace("plan", "c_plan2")
 add("clean_series", HF, filled("c_masked", "site", ["tomst_id", "error_tomst"], VALUES))
+CHAIN = ["rh", "rh_bias", "c_visits", "c_range", "c_codes", "c_plan", "c_regular", "c_flags", *[f"c_peak_{s}" for s in SENSORS], "c_masked"]
+AREA_SITES = {"MAT": ("", "0 AND 3", "4080"), "VIN": ("2023 VIN", "4 AND 6", "4096"), "RAS": ("2023", "7 AND 9", "4096")}
+for code, (version, numbers, ceiling) in AREA_SITES.items():
+    for name in CHAIN[1:]:
+        body = CTES[name].replace("moist >= 4080", f"moist >= {ceiling}")
+        if name.startswith("c_peak_"):
+            sensor = name.removeprefix("c_peak_")
+            body = f"SELECT site, datetime, CASE WHEN {hit(f'{sensor}_peak', 2, 5)} = 0 THEN {sensor} END AS {sensor} FROM ({peaks_select('c_regular', sensor, version)})"
+        CTES[f"{name}_{code}"] = re.sub(rf"\b(FROM|JOIN) ({'|'.join(CHAIN)})\b", rf"\1 \2_{code}", body)
+    CTES[f"rh_{code}"] = f"SELECT * FROM rh WHERE CAST(substr(site, 2) AS INT) % 10 BETWEEN {numbers}"
+    CTES[f"filled_{code}"] = filled(f"c_masked_{code}", "site", ["tomst_id", "error_tomst"], VALUES)
+add("clean_areas", "area:s," + HF, " UNION ALL ".join(f"SELECT *, '{a}' AS area FROM filled_{a}" for a in AREA_SITES))
+add(
+    "clean_areas_peaks",
+    "area:s,sensor:s,n_peaks:i",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS area, '{s}' AS sensor, coalesce(sum(CAST({s}_peak AS INT)), 0) AS n_peaks FROM ({peaks_select(f'c_regular_{a}', s, v)})"
+        for a, (v, _, _) in AREA_SITES.items()
+        for s in SENSORS
+    ),
+)
+ORACLE["peak_counts_observed"] = ORACLE["peak_counts"]
 add(
     "clean_t2_for_snow",
     "site:s,tomst_id:i,datetime:t,T2:d,error_tomst:i",

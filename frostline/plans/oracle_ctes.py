@@ -330,12 +330,14 @@ RULES = {
     ("2023", "T3"): (8, 20, -20, 10, 10, 10, 5, None, 5, None),
     ("2023", "moist"): (None, None, None, 1000, 1500, 1000, 300, None, 100, None),
 }
+RULES |= {("2023 VIN", s): RULES[("2023", s)] for s in TEMPS}
+RULES[("2023 VIN", "moist")] = (None, None, None, 1000, 2000, 1000, 500, None, 200, None)
 
 
 def peaks_select(table: str, s: str, version: str = "") -> str:
     """Flags of one sensor: the last rule with a condition that is not false decides; unknown is no."""
     sd, high, low, roll, prev, foll, rise, rise_roll, drop, drop_roll = RULES[(version, s)]
-    signed = s == "moist" and not version
+    signed = s == "moist" and version != "2023"
     size = (lambda x: x) if signed else (lambda x: f"abs({x})")
     conditions: list[tuple[str, str]] = []
     if sd:

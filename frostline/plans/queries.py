@@ -37,13 +37,12 @@ from frostline.operators import (
     snow,
     thermal,
 )
-from frostline.plans import pipelines, standins as st
-from frostline.session import new_stage_path
+from frostline.plans import areas, pipelines, standins as st
+from frostline.session import new_stage_path, stage
 from frostline.sources import logger_files, published
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -677,13 +676,15 @@ def calibrate_moisture(spark, d):
 
 @query
 def pivot_sites(spark, d):
-    return reshape.pivot_sites(st.readings_by_type(spark, d), "T1", EVENT_TYPES)
+    rows = st.readings_by_type(spark, d)
+    return reshape.pivot_sites(rows, "T1", pipelines.sites_of(rows))
 
 
 @query
 def unpivot_sites(spark, d):
-    wide = reshape.pivot_sites(st.readings_by_type(spark, d), "T1", EVENT_TYPES)
-    return reshape.unpivot_sites(wide, EVENT_TYPES, "T1")
+    rows = st.readings_by_type(spark, d)
+    sites = pipelines.sites_of(rows)
+    return reshape.unpivot_sites(reshape.pivot_sites(rows, "T1", sites), sites, "T1")
 
 
 @query
@@ -795,6 +796,14 @@ def peak_counts(spark, d):
     return peaks.peak_counts(peaks.flag_peaks(st.readings_by_type(spark, d)))
 
 
+@query
+def peak_counts_observed(spark, d):
+    """The same numbers, counted while the masked series are written."""
+    flagged, seen = peaks.observe_peaks(peaks.flag_peaks(st.readings_by_type(spark, d)))
+    stage(peaks.mask_peaks(flagged))
+    return spark.createDataFrame(sorted(seen.get.items()), "sensor string, n_peaks long")
+
+
 @query
 def peaks_v2023(spark, d):
     flagged = peaks.flag_peaks(st.readings_by_type(spark, d), config.PEAK_RULES_2023)
@@ -817,6 +826,30 @@ def clean_series(spark, d):
     return pipelines.clean_series(st.readings_hf(spark, d), st.bias(spark, d), st.visits(spark, d))
 
 
+POLICIES = {"MAT": areas.CURRENT, "VIN": areas.OF_2023_VIN, "RAS": areas.OF_2023}
+
+
+def _with_area(df):
+    number = F.substring("site", 2, 9).cast("int") % 10
+    return df.withColumn("area", F.when(number < 4, "MAT").when(number < 7, "VIN").otherwise("RAS"))
+
+
+def _three_areas(spark, d):
+    return areas.clean_areas(_with_area(st.readings_hf(spark, d)), st.bias(spark, d), _with_area(st.visits(spark, d)), POLICIES)
+
+
+@query
+def clean_areas(spark, d):
+    return _three_areas(spark, d)[0]
+
+
+@query
+def clean_areas_peaks(spark, d):
+    """Peaks by area and sensor, as the masking job counted them."""
+    seen = _three_areas(spark, d)[1].get
+    return spark.createDataFrame([(a, s, seen[f"{s}_{a}"]) for a in POLICIES for s in config.SENSORS], "area string, sensor string, n_peaks long")
+
+
 @query
 def clean_t2_for_snow(spark, d):
     return pipelines.clean_t2_for_snow(st.readings_hf(spark, d), st.bias(spark, d), st.visits(spark, d))
