@@ -142,7 +142,7 @@ add(
        WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 150)""",
 )
 add("any_measured", HF, "SELECT * FROM rh_codes WHERE T1 IS NOT NULL OR T2 IS NOT NULL OR T3 IS NOT NULL OR moist IS NOT NULL")
-add("exclude_prefix", "site:s,datetime:t,moist:d", "SELECT * FROM rh WHERE site NOT IN ('S1', 'S7')")
+add("exclude_prefix", "site:s,datetime:t,moist:d", "SELECT * FROM rh WHERE site NOT LIKE 'S1%' AND site NOT LIKE 'S7%'")
 add(
     "month_completeness",
     "site:s,year:i,month:i,na_prop:d",

@@ -44,20 +44,20 @@ CTES: dict[str, str] = {
         CASE WHEN l_linenumber = 1 THEN 1e0 ELSE 0e0 END AS T3_imp,
         CASE WHEN {T1} >= 1 THEN CASE WHEN l_linenumber = 7 THEN 1e0 ELSE 0e0 END END AS moist_imp FROM lineitem""",
     "rh": f"""SELECT site, user_id AS tomst_id, datetime, {VALUES}, {CODE} AS error_tomst FROM
-        (SELECT *, 'S' || (user_id % 10) AS site, {slot(15)} AS datetime FROM events)
+        (SELECT *, 'S' || (user_id // 5) AS site, {slot(15)} AS datetime FROM events)
         QUALIFY row_number() OVER (PARTITION BY site, datetime ORDER BY ts, event_id) = 1""",
-    "rl": f"""SELECT 'S' || (tomst_id % 10) AS site, tomst_id, datetime, {VALUES}, {CODE} AS probl FROM
-        (SELECT *, user_id % 30 AS tomst_id, {slot(5)} AS datetime FROM events)
+    "rl": f"""SELECT 'S' || (tomst_id // 5) AS site, tomst_id, datetime, {VALUES}, {CODE} AS probl FROM
+        (SELECT *, user_id // 5 AS tomst_id, {slot(5)} AS datetime FROM events)
         QUALIFY row_number() OVER (PARTITION BY tomst_id, datetime ORDER BY ts, event_id) = 1""",
     "rt": f"""SELECT site, datetime, {VALUES} FROM
         (SELECT event_type AS site, {slot(15)} AS datetime, round(avg(value), 4) AS value FROM events GROUP BY ALL)""",
-    "idle": f"""SELECT 'S' || (tomst_id % 10) AS site, tomst_id, datetime, 5 + (i % 5) / 16e0 AS T1, 5.25 + (i % 7) / 16e0 AS T2,
+    "idle": f"""SELECT 'S' || (tomst_id // 5) AS site, tomst_id, datetime, 5 + (i % 5) / 16e0 AS T1, 5.25 + (i % 7) / 16e0 AS T2,
         5 + (i % 3) / 32e0 + CASE WHEN i % 17 = 0 THEN 1 ELSE 0 END AS T3, 500e0 + i % 13 AS moist,
         CASE WHEN day(datetime) % 2 = 0 THEN 2 ELSE 0 END AS probl FROM
-        (SELECT user_id % 30 AS tomst_id, {slot(5)} AS datetime, min(event_id) AS i FROM events GROUP BY ALL)""",
-    "ledger": """SELECT DISTINCT 'S' || (user_id % 10) AS site, user_id AS tomst_id, CAST(ts AS DATE) AS start_date,
+        (SELECT user_id // 5 AS tomst_id, {slot(5)} AS datetime, min(event_id) AS i FROM events GROUP BY ALL)""",
+    "ledger": """SELECT DISTINCT 'S' || (user_id // 5) AS site, user_id AS tomst_id, CAST(ts AS DATE) AS start_date,
         CAST(ts AS DATE) + CAST(event_id % 3 AS INT) AS end_date, event_id % 11 AS probl FROM events WHERE event_type = 'error'""",
-    "visits": f"""SELECT DISTINCT 'S' || (user_id % 10) AS site, user_id AS tomst_id, {slot(15)} AS maxdt
+    "visits": f"""SELECT DISTINCT 'S' || (user_id // 5) AS site, user_id AS tomst_id, {slot(15)} AS maxdt
         FROM events WHERE event_type = 'signup'""",
     "bias": """SELECT DISTINCT user_id AS tomst_id, (user_id % 7 - 3) / 16e0 AS T1,
         CASE WHEN user_id % 5 <> 0 THEN (user_id % 3 - 1) / 8e0 END AS T2, (user_id % 11 - 5) / 32e0 AS T3
@@ -88,11 +88,11 @@ CTES: dict[str, str] = {
         UNION ALL SELECT folder, 'binary', logger, '0' FROM file_kinds WHERE logger % 2 = 0
         UNION ALL SELECT folder, 'command', logger, '0' FROM file_kinds WHERE logger % 3 = 0
         UNION ALL SELECT folder, 'command', logger, '9' FROM file_kinds WHERE logger % 5 = 0""",
-    "coords": """SELECT DISTINCT 'S' || (user_id % 10) AS site, 60 + (user_id % 10) / 8e0 AS Lat, 20 + (user_id % 10) / 4e0 AS Lon
-        FROM events WHERE user_id % 10 <> 9""",
-    "rules": """SELECT 'S' || (user_id % 10) AS site, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS after,
+    "coords": """SELECT DISTINCT 'S' || (user_id // 5) AS site, 60 + (user_id // 5 % 40) / 8e0 AS Lat, 20 + (user_id // 5 % 40) / 4e0 AS Lon
+        FROM events WHERE user_id // 5 % 10 <> 9""",
+    "rules": """SELECT 'S' || (user_id // 5) AS site, CASE WHEN event_id % 2 = 0 THEN CAST(ts AS DATE) END AS after,
         CAST(ts AS DATE) + 3 AS before, CASE WHEN event_id % 4 < 2 THEN 'moist' ELSE 'T1' END AS col,
-        CASE event_id % 3 WHEN 0 THEN 'null' WHEN 1 THEN 'delete' ELSE 'rename' END AS action, 'XS' || (user_id % 10) AS target
+        CASE event_id % 3 WHEN 0 THEN 'null' WHEN 1 THEN 'delete' ELSE 'rename' END AS action, 'XS' || (user_id // 5) AS target
         FROM events WHERE event_type = 'purchase' AND value > 200 AND (event_id % 2 = 0 OR event_id % 16 = 1)""",
     # ------------------------------------------------------------- cleaning
     "rh_codes": "SELECT site, tomst_id, datetime, "

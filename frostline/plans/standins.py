@@ -61,12 +61,17 @@ def _code() -> Column:
     return F.when(F.col("event_type") == "error", F.col("event_id") % 11).otherwise(0).cast("int")
 
 
+def fifth(user: str = "user_id") -> Column:
+    """One series per five users, so their number grows with the events and few events share a slot."""
+    return F.floor(F.col(user) / 5).cast("long")
+
+
 def site_of(user: str = "user_id") -> Column:
-    return F.concat(F.lit("S"), (F.col(user) % 10).cast("string"))
+    return F.concat(F.lit("S"), fifth(user).cast("string"))
 
 
 def readings_hf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """15-minute readings of ten sites, the first event of each slot."""
+    """15-minute readings of one site per five users, the first event of each slot."""
     e = table(spark, sf_dir, "events").select(
         site_of().alias("site"), slot(F.col("ts"), 15).alias("datetime"), "ts", "event_id", "user_id", "event_type", "value"
     )
@@ -77,9 +82,9 @@ def readings_hf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readings_logger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-minute readings of thirty loggers with an error code."""
+    """5-minute readings of one logger per five users, with an error code."""
     e = table(spark, sf_dir, "events").select(
-        (F.col("user_id") % 30).alias("tomst_id"), slot(F.col("ts"), 5).alias("datetime"), "ts", "event_id", "event_type", "value"
+        fifth().alias("tomst_id"), slot(F.col("ts"), 5).alias("datetime"), "ts", "event_id", "event_type", "value"
     )
     first = keep_first(e, ["tomst_id", "datetime"], [F.col("ts"), F.col("event_id")])
     return first.select(
@@ -103,9 +108,9 @@ def readings_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readings_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """5-minute readings of thirty loggers that lie on a shelf every other day."""
+    """5-minute readings of loggers that lie on a shelf every other day."""
     e = table(spark, sf_dir, "events").select(
-        (F.col("user_id") % 30).alias("tomst_id"), slot(F.col("ts"), 5).alias("datetime"), "event_id"
+        fifth().alias("tomst_id"), slot(F.col("ts"), 5).alias("datetime"), "event_id"
     )
     first = keep_first(e, ["tomst_id", "datetime"], [F.col("event_id")])
     i = F.col("event_id")
@@ -285,7 +290,7 @@ def written_logger_files(spark: SparkSession, sf_dir: str) -> str:
 
 def file_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sites of most loggers of the written files; some rows have no reading time."""
-    n = F.floor(F.col("user_id") / 5).cast("long")
+    n = fifth()
     last = F.timestamp_add("HOUR", n, F.lit("2023-06-01").cast("timestamp_ntz"))
     rows = table(spark, sf_dir, "events").select(
         F.concat(F.lit("S"), (n % 7).cast("string")).alias("site"), (94000000 + n).alias("tomst_id"), F.when(n % 5 != 2, last).alias("maxdt"), n.alias("n")
@@ -295,7 +300,7 @@ def file_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_ledger(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
     """Intervals with a code for loggers of the written files: the old half, or the new one."""
-    n, e, day = F.floor(F.col("user_id") / 5).cast("long"), F.col("event_id"), F.to_date("ts")
+    n, e, day = fifth(), F.col("event_id"), F.to_date("ts")
     rows = table(spark, sf_dir, "events").filter((F.col("event_type") == "error") & (e % 2 == int(new)) & (e % 16 < 2))
     return rows.select(
         F.concat(F.lit("S"), (n % 7).cast("string")).alias("site"),
@@ -308,7 +313,7 @@ def file_ledger(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
 
 def file_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offsets of half the loggers of the written files, some without T2."""
-    n = F.floor(F.col("user_id") / 5).cast("long")
+    n = fifth()
     rows = table(spark, sf_dir, "events").filter(n % 2 == 0)
     return rows.select(
         (94000000 + n).alias("tomst_id"), ((n % 7 - 3) / 16).alias("T1"), F.when(n % 3 != 0, (n % 3 - 1) / 8).alias("T2"), ((n % 5 - 2) / 32).alias("T3")
@@ -316,12 +321,12 @@ def file_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coordinates of the ten sites, one of them missing."""
+    """Coordinates of the sites, every tenth missing."""
     s = site_of()
-    n = F.col("user_id") % 10
+    n = fifth()
     return (
         table(spark, sf_dir, "events")
-        .filter(n != 9)
-        .select(s.alias("site"), F.lit("A").alias("area"), (60 + n / 8).alias("Lat"), (20 + n / 4).alias("Lon"))
+        .filter(n % 10 != 9)
+        .select(s.alias("site"), F.lit("A").alias("area"), (60 + n % 40 / 8).alias("Lat"), (20 + n % 40 / 4).alias("Lon"))
         .distinct()
     )
