@@ -47,17 +47,19 @@ class Encoder:
     """Byte-level BPE of whole texts by a vocabulary of ranks.
 
     A space between two characters that are no white space always begins a new pre-token, so a text can be cut there and
-    each distinct chunk encoded once. ``known`` chunks are remembered, and forgotten when they get too many.
+    each distinct chunk encoded once. ``known`` chunks are remembered, and forgotten when they get too many. ``special``
+    strings in a text are their ids, as the tokenizer of the vocabulary has them.
     """
 
-    def __init__(self, ranks_path: str, pattern: str, known: int = 400_000):
+    def __init__(self, ranks_path: str, pattern: str, known: int = 400_000, special: dict[str, int] | None = None):
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.space_first = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        self.special = dict(special or {})
+        self.space_first = np.zeros(max([*ranks.values(), *self.special.values()]) + 1, dtype=bool)
         self.space_first[[i for t, i in ranks.items() if t[:1] == b" "]] = True
-        self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.special)
         self.most = known
         self._forget()
 
@@ -67,12 +69,12 @@ class Encoder:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks that are new. Those that are a space and a word are encoded in one go and told apart by the space."""
-        plain = [c for c in chunks if c[0] == " " and c.count(" ") == 1 and not c[-1].isspace()]
+        plain = [c for c in chunks if c[0] == " " and c.count(" ") == 1 and not c[-1].isspace() and not any(x in c for x in self.special)]
         rest = list(set(chunks).difference(plain))
         ids = self.bpe.encode_to_numpy("".join(plain), disallowed_special=()) if plain else np.zeros(0, np.uint32)
         begin = np.flatnonzero(self.space_first[ids])
         size = np.diff(np.concatenate([begin, [len(ids)]]))
-        own = [self.bpe.encode_ordinary(c) for c in rest]
+        own = [self.bpe.encode(c, allowed_special="all") for c in rest]
         n = np.array([len(x) for x in own], dtype=np.int64)
         start = len(self.place)
         self.place.update(zip(plain + rest, range(start, start + len(chunks)), strict=True))
@@ -110,9 +112,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks_path: str, pattern: str) -> Encoder:
+def encoder(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...] = ()) -> Encoder:
     """The encoder of a vocabulary, kept in the worker."""
-    return Encoder(ranks_path, pattern)
+    return Encoder(ranks_path, pattern, special=dict(special))
 
 
 def place(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[list[tuple[int, int, int]]]:

@@ -11,6 +11,10 @@ from frostline.llm import bestfit, chat, nearest, outliers, packing, pieces, ppm
 from frostline.llm.text import fold
 
 
+#: Fixed value: the special token of the byte-level vocabulary.
+END_OF_TEXT = (("<|endoftext|>", 50256),)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,7 +30,7 @@ def byte_bpe() -> Callable:
     import public_tokenizers
 
     path, pattern = _tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return lambda texts: packing.encoder(path, pattern)(texts)
+    return lambda texts: packing.encoder(path, pattern, END_OF_TEXT)(texts)
 
 
 def word_bpe() -> Callable:
