@@ -199,7 +199,7 @@ def month_ranks(df: DataFrame, quant_min: float = 0.001, quant_max: float = 0.99
     Counts per whole degree tell in which degree the rank falls, counts per value and day in that degree tell the value
     and the day, and only the readings of that value and day are put in order. Counts combine before every shuffle, so
     no reading is exchanged or sorted but the few of the last step; the bounds of a step are as many rows as there are
-    site-months, and Spark broadcasts them where they are small. Nulls count for n and rank last; where the rank falls
+    site-months and are staged, so Spark knows their size and broadcasts them where they are small. Nulls count for n and rank last; where the rank falls
     among them there is no row. Equal values rank by time, then measured before imputed.
     """
     cells = _month_cells(df)
@@ -210,10 +210,10 @@ def month_ranks(df: DataFrame, quant_min: float = 0.001, quant_max: float = 0.99
         F.struct(F.lit("max").alias("var"), F.greatest(F.bround(F.col("n") * (F.lit(1.0) - F.lit(quant_max)), 0), F.lit(1.0)).alias("rank")),
     )
     asked = sized.filter("degree IS NOT NULL").select(*RANK_KEYS, "degree", "m", F.inline(ranks))
-    bounds = _picked(asked, ["degree"])
+    bounds = stage(_picked(asked, ["degree"]))
     inside = cells.withColumn("day", F.dayofmonth("datetime")).join(bounds, [*RANK_KEYS, "degree"])
     values = inside.groupBy(*RANK_KEYS, "var", "rank", "value", "day").agg(F.count(F.lit(1)).alias("m"))
-    days = _picked(values, ["value", "day"])
+    days = stage(_picked(values, ["value", "day"]))
     last = cells.withColumn("day", F.dayofmonth("datetime")).join(days, [*RANK_KEYS, "value", "day"])
     stamps = last.groupBy(*RANK_KEYS, "var", "rank", "value", "datetime", "imp").agg(F.count(F.lit(1)).alias("m"))
     pct = F.when(F.col("imp"), 100.0).when(~F.col("imp"), 0.0).alias("pct")

@@ -238,3 +238,46 @@ def test_scan_of_files(spark, tmp_path):
     assert {r["tomst_id"] for r in rows} == {111, 333} and len(rows) == 202
     fifth = [r for r in rows if r["tomst_id"] == 333 and r["T1"] == 9.25]
     assert len(fifth) == 1 and fifth[0]["datetime"].timestamp() == datetime.fromisoformat("2024-01-01 01:15:00+00:00").timestamp()
+
+
+def test_month_ranks_by_selection(spark):
+    """Ties, nulls, NaN and repeated times against a sort by hand; no reading is exchanged before it is counted."""
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for site in ("A", "B"):
+        for k in range(900):
+            v = rng.choice([-0.0, 0.0, 0.5, 1.0, 1.0625, -3.2, 1e7, 2e7, float("nan")]) if site == "A" else 5.0
+            v = None if k % 11 == 0 else v
+            rows.append((site, datetime(2024, 1 + k % 2, 1 + k % 28, k % 24, 15 * (k % 3)), v, v, None, bool(k % 2), None, False))
+    df = spark.createDataFrame(rows, "site string, datetime timestamp_ntz, T1 double, T2 double, T3 double, T1_imp boolean, T2_imp boolean, T3_imp boolean")
+    for q in (0.001, 0.1, 0.7):
+        out = thermal.month_ranks(df, q, 1 - q)
+        got = {(r["site"], r["month"], r["sensor"], r["var"]): (r["value"], r["pct"]) for r in out.collect()}
+        want = {}
+        for site in ("A", "B"):
+            for month in (1, 2):
+                mine = [r for r in rows if r[0] == site and r[1].month == month]
+                k = max(1, round(len(mine) * q))
+                for sensor, at in (("T1", 2), ("T2", 3)):
+                    full = [r for r in mine if r[at] is not None]
+                    up = lambda x: (x != x, 0.0 if x != x else x)
+                    order = {"min": sorted(full, key=lambda r: (up(r[at]), r[1], r[at + 3] or False))}
+                    order["max"] = sorted(full, key=lambda r: ((0, 0.0) if r[at] != r[at] else (1, -r[at]), r[1], r[at + 3] or False))
+                    for var in ("min", "max"):
+                        if k <= len(full):
+                            r = order[var][k - 1]
+                            want[site, month, sensor, var] = (str(r[at] + 0.0), None if r[at + 3] is None else 100.0 * r[at + 3])
+        assert {k: (str(v + 0.0), p) for k, (v, p) in got.items()} == want
+    plan = [line for line in out._jdf.queryExecution().executedPlan().toString().split("\n") if "Initial Plan" not in line]
+    depth = [len(line) - len(line.lstrip(" :+-*(0123456789)")) for line in plan]
+    for at, line in enumerate(plan):
+        if "Scan" in line:
+            above, level = [], depth[at]
+            for back in range(at - 1, -1, -1):
+                if depth[back] < level:
+                    level = depth[back]
+                    above.append(plan[back])
+            first = next(x for x in above if "HashAggregate" in x or (" Exchange " in x and "Broadcast" not in x))
+            assert "HashAggregate" in first
