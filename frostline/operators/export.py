@@ -139,6 +139,7 @@ def export_metadata(
         **METADATA_CONSTANTS,
         **constants,
     }
+    series = stage(series.select(*KEYS, "datetime", *SERIES_SENSORS))  # read by spans and steps
     spans = sensor_spans(series)
     steps = temporal_resolution(series.filter("Raw_data_identifier is not null"), "Raw_data_identifier", "datetime", chunk=chunk)
     places = coordinates.select(
