@@ -117,6 +117,44 @@ def encoder(ranks_path: str, pattern: str, special: tuple[tuple[str, int], ...]
     return Encoder(ranks_path, pattern, special=dict(special))
 
 
+def pick(size: np.ndarray, heavy: np.ndarray, limits: Limits) -> list[tuple[list[int], np.ndarray]]:
+    """Sequences filled one after the other by the dot-product rule: the examples in each, and the room left in it.
+
+    ``size`` and ``heavy`` are the examples' tokens and loss-bearing tokens. Examples of one demand are a class: a pick looks at
+    classes, of which there are few, not at examples.
+    """
+    if not len(size):
+        return []
+    room_all = np.array([limits.tokens, limits.segments, limits.loss], dtype=np.float64)
+    weight = np.array([size.mean(), 1.0, heavy.mean()]) / room_all / room_all
+    open_bins: list[tuple[list[int], np.ndarray]] = []
+    kinds, which, many = np.unique(np.column_stack([-size, heavy]), axis=0, return_inverse=True, return_counts=True)
+    items = np.argsort(which.ravel(), kind="stable")
+    at, end = np.cumsum(many) - many, np.cumsum(many)
+    each, load = -kinds[:, 0], kinds[:, 1]
+    live = np.arange(len(many))
+    while len(live):
+        room, held = room_all.copy(), []
+        while room[1] >= 1:
+            fits = (at[live] < end[live]) & (each[live] <= room[0]) & (load[live] <= room[2] + 1e-9)
+            can = live[fits]
+            if not len(can):
+                break
+            pull = weight * room
+            best = can[int((each[can] * pull[0] + load[can] * pull[2]).argmax())]
+            take = 1
+            if len(can) == 1:  # nothing else fits, now or later
+                take = int(min(end[best] - at[best], room[0] // each[best], room[1]))
+                if load[best] > 0:
+                    take = max(1, min(take, int((room[2] + 1e-9) // load[best])))
+            held += items[at[best] : at[best] + take].tolist()
+            at[best] += take
+            room = room - take * np.array([each[best], 1.0, load[best]])
+        open_bins.append((held, room))
+        live = live[at[live] < end[live]]
+    return open_bins
+
+
 def place(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[list[tuple[int, int, int]]]:
     """Sequences as lists of ``(example, start, length)``; each token of each example lies in exactly one.
 
@@ -136,27 +174,7 @@ def place(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[list[tup
     size = (tokens[left] - start[left]).astype(np.float64)
     heavy = size * loss[left]
     need = np.column_stack([size, np.ones(len(left)), heavy])
-    room_all = np.array([limits.tokens, limits.segments, limits.loss], dtype=np.float64)
-    weight = need.mean(axis=0) / room_all / room_all if len(left) else room_all
-    open_bins: list[tuple[list[int], np.ndarray]] = []
-    index, gone = np.arange(len(left)), 0
-    free = np.ones(len(left), dtype=bool)
-    while gone < len(left):
-        room, held = room_all.copy(), []
-        while room[1] >= 1:
-            pull = weight * room
-            value = size * pull[0] + heavy * pull[2] + pull[1]
-            value[~(free & (size <= room[0]) & (heavy <= room[2] + 1e-9))] = -1.0
-            best = int(value.argmax()) if len(value) else 0
-            if not len(value) or value[best] < 0:
-                break
-            free[best] = False
-            held.append(int(index[best]))
-            room = room - need[index[best]]
-        gone += len(held)
-        open_bins.append((held, room))
-        if 2 * free.sum() < len(free):
-            size, heavy, index, free = size[free], heavy[free], index[free], free[free]
+    open_bins = pick(size, heavy, limits)
     rooms = [r for _, r in open_bins]
     filled = [[(int(left[j]), int(start[left[j]]), int(need[j][0])) for j in held] for held, _ in open_bins]
     giver = sorted(range(len(filled)), key=lambda b: -rooms[b][0])

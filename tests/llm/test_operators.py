@@ -316,6 +316,40 @@ def test_placement_keeps_all_three_limits(share):
     assert (seen == tokens).all()
 
 
+def plain_picks(size, heavy, limits):
+    """The demands in each sequence by the dot-product rule, one example at a time."""
+    left = [(x, 1, y) for x, y in zip(size, heavy, strict=True)]
+    most = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
+    weight, bins = np.mean(left, axis=0) / most / most, []
+    while left:
+        room, held = most.copy(), []
+        while fit := [d for d in left if d[0] <= room[0] and d[1] <= room[1] and d[2] <= room[2] + 1e-9]:
+            best = max(fit, key=lambda d: (round(float(np.dot(d, weight * room)), 12), d[0], -d[2]))
+            left.remove(best)
+            held.append((best[0], best[2]))
+            room = room - np.array(best)
+        bins.append(sorted(held))
+    return bins
+
+
+def test_picks_follow_the_dot_product_rule():
+    rng = np.random.default_rng(12)
+    for k in range(80):
+        size = rng.integers(1, 60, 40).astype(float)
+        heavy = size * (1.0 if k % 2 else rng.choice([0.0, 0.25, 0.5, 1.0], 40))
+        limits = packing.Limits(64, int(rng.integers(2, 9)), int(rng.integers(60, 65)))
+        got = [sorted((size[i], heavy[i]) for i in held) for held, _ in packing.pick(size, heavy, limits)]
+        assert got == plain_picks(size.tolist(), heavy.tolist(), limits)
+
+
+def test_a_window_of_one_token_texts_takes_seconds():
+    import time
+
+    began = time.perf_counter()
+    assert len(packing.place(np.ones(1 << 20, dtype=np.int64), np.ones(1 << 20), packing.Limits())) == 2048
+    assert time.perf_counter() - began < 20
+
+
 def test_chunked_encoding_equals_whole_encoding():
     rng = np.random.default_rng(4)
     alphabet = ["<|endoftext|>", "<|", "endoftext|>", " ", " ", "\n", "\t", " ", " ", "\x85", "a", "é", "1", ".", "'s", "'", "中", "　", " the", "\x00"]
