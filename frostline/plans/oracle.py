@@ -490,6 +490,28 @@ add(
     """SELECT DISTINCT 94000000 + n AS tomst_id, (n % 7 - 3) / 16e0 AS T1, (n % 3 - 1) / 8e0 AS T2, (n % 5 - 2) / 32e0 AS T3
        FROM (SELECT user_id // 5 AS n FROM events) WHERE n % 2 = 0 AND n % 3 <> 0""",
 )
+add(
+    "local_readings",
+    "file:s,row:i,datetime:t",
+    """SELECT file, event_id AS row, stamp + INTERVAL 2 HOUR AS datetime FROM (SELECT *, row_number() OVER (PARTITION BY file, stamp ORDER BY event_id DESC) AS k
+       FROM file_lines WHERE reason IS NULL AND file IN (SELECT file FROM file_kinds WHERE reject IS NULL)) WHERE k = 1""",
+)
+add("registry_from_csv", "site:s,tomst_id:i,maxdt:t", "SELECT * FROM file_registry")
+add(
+    "bias_from_csv",
+    "tomst_id:i,T1:d,T2:d,T3:d",
+    """SELECT DISTINCT 94000000 + n AS tomst_id, CASE WHEN (94000000 + n) % 7 NOT IN (3, 4) THEN (n % 7 - 3) / 16e0 END AS T1,
+       CASE WHEN n % 3 <> 0 THEN (n % 3 - 1) / 8e0 END AS T2, (n % 5 - 2) / 32e0 AS T3 FROM (SELECT user_id // 5 AS n FROM events) WHERE n % 2 = 0""",
+)
+add(
+    "combine_sensors",
+    "site:s,datetime:t," + ",".join(f"{s}:d" for s in SENSORS) + "," + ",".join(f"{s}_imp:b" for s in SENSORS),
+    "SELECT * FROM "
+    + " FULL JOIN ".join(
+        f"(SELECT site, datetime, {s}, hour(datetime) % 2 = {k % 2} AS {s}_imp FROM rt WHERE hour(datetime) % {k + 2} <> 1)" + (" USING (site, datetime)" if k else "")
+        for k, s in enumerate(SENSORS)
+    ),
+)
 ORACLE["stage02_rejects"] = ORACLE["scan_rejects"]
 CTES["exact"] = "SELECT user_id, date_trunc('second', ts)::TIMESTAMP AS datetime, max(value) AS value FROM events GROUP BY ALL"
 add("fill_gaps_seconds", "user_id:i,datetime:t,value:d", filled("exact", "user_id", [], ["value"]))

@@ -39,7 +39,7 @@ from frostline.operators import (
 )
 from frostline.plans import areas, pipelines, standins as st
 from frostline.session import new_stage_path, stage
-from frostline.sources import logger_files, published
+from frostline.sources import logger_files, published, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,6 +144,33 @@ def written_file_layouts(spark, d):
     return logger_files.file_layouts(_written_lines(spark, d)).select(_file(), "n_rows", F.when(F.col("sep") == "\t", "tab").otherwise(F.col("sep")).alias("sep"), "year_first", "reject")
 
 
+@query
+def local_readings(spark, d):
+    return logger_files.local_time(_scanned(spark, d)[0].select(_file(), "row", "datetime"))
+
+
+def _through_csv(spark, df, kind):
+    path = new_stage_path(spark)
+    tables.write_csv(df, path)
+    return tables.read_csv(spark, path, kind)
+
+
+@query
+def registry_from_csv(spark, d):
+    rows = _through_csv(spark, st.file_registry(spark, d), "registry")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), F.col("maxdt").cast("timestamp_ntz"))
+    return rows.withColumn("maxdt", utc)
+
+
+@query
+def bias_from_csv(spark, d):
+    """Offsets written as NaN and infinity come back as nulls."""
+    n = F.col("tomst_id") % 7
+    odd = F.when(n == 3, F.lit("NaN").cast("double")).when(n == 4, F.lit("-Infinity").cast("double")).otherwise(F.col("T1"))
+    return _through_csv(spark, st.file_bias(spark, d).withColumn("T1", odd), "bias")
+
+
 AREA_OF_FILES = {c: replace(AREAS[c], last_day="2024-01-25") for c in ("MAT", "EVO", "PAL")}
 
 
@@ -151,7 +178,7 @@ def _second_stage(spark, d, code, name):
     """Files to the published tables of an area, and one of them read again."""
     readings, rejects = _scanned(spark, d)
     registry = st.file_registry(spark, d)
-    tables = pipelines.acquire(
+    acquired = pipelines.acquire(
         readings.drop("path", "row"),
         rejects.select(_file(), "row", "reason", "n_rows"),
         registry,
@@ -162,7 +189,7 @@ def _second_stage(spark, d, code, name):
         site_map=registry.select("site", "tomst_id"),
     )
     root = new_stage_path(spark)
-    published.publish(spark, tables, root, code)
+    published.publish(spark, acquired, root, code)
     return published.read_published(spark, root, code, name)
 
 
@@ -907,6 +934,18 @@ def pmm_match_draw(spark, d):
     return _matched(spark, d, k=3, seed=5)
 
 
+@query
+def combine_sensors(spark, d):
+    """Each sensor has rows that others lack."""
+    rows = st.readings_by_type(spark, d)
+    hour = F.hour("datetime")
+    parts = [
+        rows.filter(hour % (k + 2) != 1).select("site", "datetime", s, (hour % 2 == k % 2).alias(f"{s}_imp"))
+        for k, s in enumerate(config.SENSORS)
+    ]
+    return impute.combine_sensors(parts)
+
+
 @query
 def frozen_moisture(spark, d):
     grid = resample.dense_grid(st.readings_by_type(spark, d), ["T1", "moist"])

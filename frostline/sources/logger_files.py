@@ -16,7 +16,7 @@ from frostline.functions.scalars import (
     parse_logger_time,
 )
 from frostline.operators.dedup import keep_last
-from frostline.session import stage
+from frostline.session import LOCAL_ZONE, stage
 
 MIN_ROWS = 100
 FIELDS = 7
@@ -120,6 +120,11 @@ def readings_and_rejects(lines: DataFrame, min_rows: int = MIN_ROWS) -> tuple[Da
     return readings, files.unionByName(rows)
 
 
+def local_time(readings: DataFrame, zone: str = LOCAL_ZONE, time: str = "datetime") -> DataFrame:
+    """UTC clock times, as files have them, as clock times of a zone; winter time all year by default."""
+    return readings.withColumn(time, F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(time)))
+
+
 def list_files(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "*") -> DataFrame:
     """The manifest of a folder tree: ``path, bytes, modified`` per file, without reading any content.
 
