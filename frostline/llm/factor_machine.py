@@ -1,7 +1,8 @@
 """Factorisation machines over hashed words, for quality and toxicity.
 
-A text is a sparse vector of hashed words that occur and, for quality, of bins of structure statistics. The score is
-``w0 + sum(w x) + 1/2 sum over factors of ((sum(v x))^2 - sum(v^2 x^2))``, linear in the number of words (sum of squares).
+A text is a sparse vector of all hashed words that occur and, for quality, of bins of structure statistics and of metadata. The
+score is ``w0 + sum(w x) + 1/2 sum over factors of ((sum(v x))^2 - sum(v^2 x^2))``, linear in the number of words (sum of squares).
+No term is chosen beforehand: every bucket that occurs has a weight and factors, and penalties take the useless ones to zero.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from frostline.llm.text import coded_words, distinct, pieces, small_batches, sums, utf8
 from frostline.session import stage, unstage
@@ -29,17 +31,17 @@ STRUCTURE = ("words", "word_length", "variety", "longest_run", "upper", "digits"
 
 @dataclass
 class Model:
-    """``terms``: hashed words with an input of their own; ``edges``: bin borders of each statistic; then the weights."""
+    """``terms``: buckets with a weight that is not zero, ascending; ``edges``: bin borders of each statistic and metadata column.
+
+    ``linear`` and ``factors`` hold the terms first, then ``BINS + 1`` bins for each row of ``edges``, the last one for nulls.
+    """
 
     terms: np.ndarray
     edges: np.ndarray
     bias: float
     linear: np.ndarray
     factors: np.ndarray
-
-    @property
-    def inputs(self) -> int:
-        return len(self.terms) + len(self.edges) * BINS
+    metadata: tuple[str, ...] = ()
 
 
 def term_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -104,13 +106,29 @@ def structure_of(texts: pa.Array) -> np.ndarray:
     )
 
 
-def _sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, statistics: bool) -> DataFrame:
+def _with_metadata(docs: DataFrame, metadata: tuple[str, ...]) -> DataFrame:
+    """``doc_id, text, meta``: the metadata as doubles, null where a column is missing or no number."""
+    numbers = {f.name for f in docs.schema.fields if isinstance(f.dataType, NumericType)}
+    values = [F.col(f"`{c}`").cast("double") if c in numbers else F.lit(None).cast("double") for c in metadata]
+    meta = F.array(*values) if values else F.array().cast("array<double>")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text"), meta.alias("meta"))
+
+
+def _values(batch: pa.RecordBatch, statistics: bool, metadata: int) -> np.ndarray:
+    """Statistics, then metadata, of each text of a batch; NaN for null."""
+    n = batch.num_rows
+    stats = structure_of(batch.column("text")) if statistics else np.zeros((n, 0))
+    meta = batch.column("meta").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, metadata)
+    return np.column_stack([stats, meta])
+
+
+def _sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, statistics: bool, metadata: tuple[str, ...]) -> DataFrame:
     """``y, terms, stats`` of the labelled rows to learn from."""
     y = F.col(label).cast("int")
     known = labels.where(y.isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.round(F.avg(y)).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    one = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+    texts = _with_metadata(docs, metadata).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id").agg(F.min(F.struct("text", "meta")).alias("one"), F.first("y").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
@@ -118,68 +136,110 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, stati
             pairs = distinct(rows * BUCKETS + buckets)
             cuts = np.searchsorted(pairs, np.arange(b.num_rows + 1) * BUCKETS).astype(np.int32)
             terms = pa.ListArray.from_arrays(pa.array(cuts), pa.array((pairs % BUCKETS).astype(np.int32)))
-            stats = structure_of(b.column("text")).tolist() if statistics else [[]] * b.num_rows
+            stats = _values(b, statistics, len(metadata)).tolist()
             out = [b.column("doc_id"), b.column("y"), terms, pa.array(stats, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(out, ["doc_id", "y", "terms", "stats"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return one.mapInArrow(run, f"doc_id {kind}, y int, terms array<int>, stats array<double>")
-
-
-def _telling_terms(sample: DataFrame, most: int, least_rows: int) -> tuple[np.ndarray, int]:
-    """The ``most`` buckets whose rows differ most in label from all rows (chi-square), and the number of rows."""
-    n, ones = sample.agg(F.count("*"), F.sum("y")).first()
-    if not n or not ones or ones == n:
-        return np.zeros(0, dtype=np.int64), n
-    p = ones / n
-    per = sample.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"), F.sum("y").alias("pos"))
-    gap = F.col("pos") - F.col("df") * p
-    chi = gap * gap / (F.col("df") * (p * (1 - p)) + 1.0)
-    top = per.where(F.col("df") >= least_rows).select("term", chi.alias("chi")).where("chi > 6").orderBy(F.desc("chi"), "term").limit(most)
-    return np.sort(np.array([r[0] for r in top.collect()], dtype=np.int64)), n
-
-
-def dense_inputs(rows: np.ndarray, buckets: np.ndarray, stats: np.ndarray, n: int, terms: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """0/1 inputs of each text: its words among ``terms``, then the bin of each statistic."""
-    x = np.zeros((n, len(terms) + len(edges) * BINS), dtype=np.float32)
-    if len(terms) and len(buckets):
-        place = np.full(BUCKETS, -1, dtype=np.int32)
-        place[terms] = np.arange(len(terms))
-        at = place[buckets]
-        x[rows[at >= 0], at[at >= 0]] = 1
+    return one.select("doc_id", "y", "one.text", "one.meta").mapInArrow(run, f"doc_id {kind}, y int, terms array<int>, stats array<double>")
+
+
+def binned(stats: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Input, counted from 0, of each row and statistic: the bin its value falls in, or the bin of nulls."""
+    bins = np.empty(stats.shape, dtype=np.int64)
     for k, cut in enumerate(edges):
-        x[np.arange(n), len(terms) + k * BINS + np.searchsorted(cut, stats[:, k], side="right")] = 1
-    return x
+        bin_of = np.searchsorted(cut, stats[:, k], side="right")
+        bins[:, k] = k * (BINS + 1) + np.where(np.isnan(stats[:, k]), BINS, bin_of)
+    return bins
+
+
+def _sparse(rows: np.ndarray, inputs: np.ndarray, bins: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and input of every entry that is 1, ordered by row, then input."""
+    n, width = bins.shape
+    rows = np.concatenate([rows, np.repeat(np.arange(n), width)])
+    inputs = np.concatenate([inputs, terms + bins.ravel()])
+    order = np.lexsort((inputs, rows))
+    return rows[order], inputs[order]
 
 
-def predict(model: Model, x: np.ndarray) -> np.ndarray:
-    """Probability of label 1."""
-    vx = x @ model.factors
-    square = (vx * vx - x @ (model.factors * model.factors)).sum(axis=1) / 2  # inputs are 0 or 1, so x^2 = x
-    return 1 / (1 + np.exp(-np.clip(model.bias + x @ model.linear + square, -30, 30)))
+def _margins(rows: np.ndarray, inputs: np.ndarray, n: int, bias: float, linear: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of each row and its sums of factors; a row's sums are taken in the order of its own entries alone."""
+    sums_of = np.stack([np.bincount(rows, column[inputs], n) for column in factors.T], axis=1) if len(inputs) else np.zeros((n, factors.shape[1]))
+    squares = np.bincount(rows, (factors * factors).sum(axis=1)[inputs], n)  # inputs are 0 or 1, so x^2 = x
+    return bias + np.bincount(rows, linear[inputs], n) + ((sums_of**2).sum(axis=1) - squares) / 2, sums_of
 
 
-def _fit(x: np.ndarray, y: np.ndarray, factors: int, epochs: int, rate: float, shrink: float, seed: int) -> tuple[float, np.ndarray, np.ndarray]:
-    """Minimise log loss by Adagrad on small batches."""
+def _chance(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+
+
+def predict(model: Model, rows: np.ndarray, inputs: np.ndarray, n: int) -> np.ndarray:
+    """Probability of label 1 of ``n`` rows, whose entries are given by row and input in ascending order."""
+    return _chance(_margins(rows, inputs, n, model.bias, model.linear, model.factors)[0])
+
+
+def _fit(
+    starts: np.ndarray, inputs: np.ndarray, y: np.ndarray, width: int, free: int, factors: int, warm: int, epochs: int, settle: int, rate: float, l1: float, group: float, seed: int
+) -> tuple[float, np.ndarray, np.ndarray]:
+    """Minimise log loss over small batches of rows; row ``i`` has the ``inputs`` from ``starts[i]`` to ``starts[i + 1]``.
+
+    Weights follow the regularised leader (penalty ``l1`` an epoch times the root of the number of rows, as noise grows with
+    it; none for the last ``free`` inputs), so those of useless inputs are exactly zero. After ``warm`` of the ``epochs``
+    factors join by Adagrad with a penalty ``group`` on their length; an input whose factors reach zero has no pairs from then
+    on. Inputs that are left go on for ``settle`` epochs without a penalty on weights, which would hold their scores near the mean.
+    """
     rng = np.random.default_rng(seed)
-    p = np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99)
-    bias, w, v = float(np.log(p / (1 - p))), np.zeros(x.shape[1], np.float32), rng.normal(0, 0.02, (x.shape[1], factors)).astype(np.float32)
-    gb, gw, gv = 1e-3, np.full_like(w, 1e-3), np.full_like(v, 1e-3)
-    for _ in range(epochs):
-        for block in np.array_split(rng.permutation(len(y)), max(1, len(y) // 128)):
-            xb = x[block].astype(np.float32)
-            vx = xb @ v
-            z = bias + xb @ w + (vx * vx - xb @ (v * v)).sum(axis=1) / 2
-            err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[block]).astype(np.float32) / len(block)
-            used = xb.any(axis=0)
-            grad_w = xb.T @ err + shrink * w * used
-            grad_v = xb.T @ (err[:, None] * vx) - (xb.T @ err)[:, None] * v + shrink * v * used[:, None]
-            grad_b = float(err.sum())
-            gb, gw, gv = gb + grad_b**2, gw + grad_w**2, gv + grad_v**2
-            bias -= rate * grad_b / gb**0.5
-            w -= rate * grad_w / np.sqrt(gw)
-            v -= 0.3 * rate * grad_v / np.sqrt(gv)
-    return bias, w, v
+    n, sizes = len(y), np.diff(starts)
+    p = np.clip(y.mean() if n else 0.5, 0.01, 0.99)
+    bias, seen = float(np.log(p / (1 - p))), 1.0
+    z, squared, w = np.zeros(width), np.zeros(width), np.zeros(width)
+    penalty = np.full(width, l1 * n**0.5)
+    penalty[width - free :] = 0
+    v = rng.normal(0, 0.3 / max(1.0, sizes.mean() if n else 1.0) ** 0.5, (width, factors))
+    alive, spread = np.ones(width, bool), np.ones(width)
+    for epoch in range(epochs + settle):
+        if epoch == epochs:  # the inputs that are left go on without a penalty on weights
+            kept = (w != 0) | (alive & (epochs > warm))
+            alive &= kept
+            stays = kept[inputs]
+            starts, inputs = np.concatenate([[0], np.cumsum(stays)])[starts], inputs[stays]
+            sizes = np.diff(starts)
+            z, penalty = -w * (1 + np.sqrt(squared)) / rate, np.zeros(width)
+        for block in np.array_split(rng.permutation(n), max(1, n // 128)):
+            size = sizes[block]
+            ends = np.cumsum(size)
+            used, at = np.unique(inputs[np.repeat(starts[block] - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)], return_inverse=True)
+            row = np.repeat(np.arange(len(block)), size)
+            margin = bias + np.bincount(row, w[used][at], len(block))
+            paired = warm <= epoch and epochs > warm
+            if paired:
+                place = np.cumsum(alive[used]) - 1
+                held = alive[used][at]
+                prow, pat, pused = row[held], place[at[held]], used[alive[used]]
+                vu = v[pused]
+                pairs, sums_of = _margins(prow, pat, len(block), 0.0, np.zeros(len(pused)), vu)
+                margin += pairs
+            err = _chance(margin) - y[block]
+            slope = np.bincount(at, err[row], len(used))
+            old, squared[used] = squared[used], squared[used] + slope**2
+            root = np.sqrt(squared[used])
+            z[used] += slope - (root - np.sqrt(old)) / rate * w[used]
+            over = np.maximum(np.abs(z[used]) - penalty[used] * (epoch + 1), 0) * np.sign(z[used])
+            w[used] = -over * rate / (1 + root)
+            if paired and len(pused):
+                pull = err[:, None] * sums_of
+                steep = np.stack([np.bincount(pat, column[prow], len(pused)) for column in pull.T], axis=1)
+                steep -= np.bincount(pat, err[prow], len(pused))[:, None] * vu
+                spread[pused] += (steep**2).mean(axis=1)
+                step = 0.1 / np.sqrt(spread[pused])[:, None]
+                vu = vu - step * steep
+                length = np.sqrt((vu**2).sum(axis=1, keepdims=True))
+                vu *= np.maximum(0, 1 - step * group / np.maximum(length, 1e-12))
+                v[pused], alive[pused] = vu, vu.any(axis=1)
+            total = float(err.sum())
+            seen += total * total
+            bias -= 0.1 * total / seen**0.5
+    return bias, w, v * (epochs > warm)
 
 
 def train(
@@ -187,69 +247,81 @@ def train(
     labels: DataFrame,
     label: str,
     statistics: bool,
-    max_terms: int = 2048,
-    least_rows: int = 3,
+    metadata: tuple[str, ...] = (),
     max_rows: int = MAX_ROWS,
     factors: int = 8,
-    epochs: int = 15,
-    rate: float = 0.3,
-    shrink: float = 1e-5,
+    warm: int = 5,
+    epochs: int = 12,
+    settle: int = 15,
+    rate: float = 1.0,
+    l1: float = 0.1,
+    group: float = 1.3,
     seed: int = 7,
 ) -> Model:
-    """Learn ``labels.label`` (0 or 1) from the texts of ``docs``.
+    """Learn ``labels.label`` (0 or 1) from the texts of ``docs``, and from its numeric columns ``metadata``.
 
-    At most ``max_rows`` labelled documents are learned from, the first by a hash of ``doc_id``; the vocabulary is chosen
-    over them by a Spark aggregate, and one task descends on their inputs, so its memory is bounded too. A document with
-    several labels takes their rounded mean, one with several texts the smallest text. Without both labels the score is
-    the share of label 1 (one half without any).
+    At most ``max_rows`` labelled documents are learned from, the first by a hash of ``doc_id``; all their hashed terms are
+    inputs (``BUCKETS`` at most), and one task descends on them, so its memory is bounded too. A document with several labels
+    takes their rounded mean, one with several texts the smallest text. Null labels and ids teach nothing, a null text counts
+    as empty, null metadata has a bin of its own. Without both labels the score is the share of label 1, held within 0.01 and
+    0.99 (one half without any label).
     """
     small_batches(docs.sparkSession)
-    sample = stage(_sample(docs, labels, label, max_rows, statistics))
-    terms, _ = _telling_terms(sample, max_terms, least_rows)
-    width = len(STRUCTURE) if statistics else 0
+    sample = stage(_sample(docs, labels, label, max_rows, statistics, metadata))
+    width = (len(STRUCTURE) if statistics else 0) + len(metadata)
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("doc_id")
+        table = table.combine_chunks().sort_by("doc_id").combine_chunks()
         n = table.num_rows
-        lists = table.column("terms").combine_chunks()
-        buckets = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
+        lists = table.column("terms").chunk(0)
+        buckets = lists.flatten().to_numpy(zero_copy_only=False)
         stats = np.array(table.column("stats").to_pylist(), dtype=np.float64).reshape(n, width)
-        edges = np.quantile(stats, np.arange(1, BINS) / BINS, axis=0).T.reshape(width, BINS - 1)
-        x = dense_inputs(rows, buckets, stats, n, terms, edges).astype(np.uint8)
-        bias, w, v = _fit(x, table.column("y").to_numpy().astype(np.float32), factors, epochs, rate, shrink, seed)
-        flat = [edges.astype(np.float64).tobytes(), np.float64(bias).tobytes(), w.tobytes(), v.tobytes()]
-        return pa.table({"part": pa.array(flat, pa.binary()), "k": pa.array(range(4), pa.int32())})
-
+        terms = np.flatnonzero(np.bincount(buckets, minlength=BUCKETS))
+        known = [column[~np.isnan(column)] for column in stats.T]
+        edges = np.array([np.quantile(c if len(c) else [0.0], np.arange(1, BINS) / BINS) for c in known]).reshape(width, BINS - 1)
+        place = np.zeros(BUCKETS, dtype=np.int64)
+        place[terms] = np.arange(len(terms))
+        rows = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
+        rows, inputs = _sparse(rows, place[buckets], binned(stats, edges), len(terms))
+        free = width * (BINS + 1)
+        starts = np.searchsorted(rows, np.arange(n + 1))
+        bias, w, v = _fit(starts, inputs, table.column("y").to_numpy().astype(np.float64), len(terms) + free, free, factors, warm, epochs, settle, rate, l1, group, seed)
+        keep = (w != 0) | v.any(axis=1)
+        keep[len(terms) :] = True
+        flat = [terms[keep[: len(terms)]].astype(np.int64), edges.astype(np.float64), np.float64(bias), w[keep], v[keep]]
+        return pa.table({"part": pa.array([x.tobytes() for x in flat], pa.binary()), "k": pa.array(range(5), pa.int32())})
+
+    # The kept weights: at most BUCKETS + bins rows of factors + 1 doubles, whatever the data.
     found = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(lambda t: fit(t.drop_columns(["one"])), "part binary, k int").orderBy("k").collect()
     unstage(sample)
     if not found:
-        return Model(terms, np.zeros((width, BINS - 1)), 0.0, np.zeros(len(terms) + width * BINS, np.float32), np.zeros((len(terms) + width * BINS, factors), np.float32))
-    parts = [bytes(r[0]) for r in found]
-    edges = np.frombuffer(parts[0]).reshape(width, BINS - 1)
-    return Model(terms, edges, float(np.frombuffer(parts[1])[0]), np.frombuffer(parts[2], np.float32), np.frombuffer(parts[3], np.float32).reshape(-1, factors))
+        return Model(np.zeros(0, np.int64), np.zeros((width, BINS - 1)), 0.0, np.zeros(width * (BINS + 1)), np.zeros((width * (BINS + 1), factors)), metadata)
+    parts = [np.frombuffer(bytes(r[0]), np.int64 if r[1] == 0 else np.float64) for r in found]
+    return Model(parts[0], parts[1].reshape(width, BINS - 1), float(parts[2][0]), parts[3], parts[4].reshape(-1, factors), metadata)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without other columns than ``doc_id``, with ``score``: the probability of label 1 of every whole text.
 
-    A null text counts as empty; every row gets a score, repeated rows the same one.
+    A null text counts as empty, metadata that ``docs`` lacks as null; every row gets a score, and equal texts with equal
+    metadata get the same one, whatever rows come with them. Empty tables give no rows.
     """
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most max_terms + bins inputs, whatever the data
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most BUCKETS + bins inputs, whatever the data
+    statistics = len(model.edges) > len(model.metadata)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        place = np.full(BUCKETS, -1, dtype=np.int32)
+        place[m.terms] = np.arange(len(m.terms))
         for b in pieces(batches, limit=2 << 20):
-            text = b.column("text")
-            rows, buckets = term_buckets(text)
-            stats = structure_of(text) if len(m.edges) else np.zeros((len(text), 0))
-            found = np.empty(len(text))
-            cuts = np.searchsorted(rows, np.arange(0, len(text) + 512, 512))
-            for k, at in enumerate(range(0, len(text), 512)):
-                n, lo, hi = min(512, len(text) - at), cuts[k], cuts[k + 1]
-                found[at : at + n] = predict(m, dense_inputs(rows[lo:hi] - at, buckets[lo:hi], stats[at : at + n], n, m.terms, m.edges))
+            rows, buckets = term_buckets(b.column("text"))
+            at = place[buckets].astype(np.int64)
+            span = max(1, len(m.terms))
+            entries = distinct((rows * span + at)[at >= 0])
+            bins = binned(_values(b, statistics, len(m.metadata)), m.edges)
+            found = predict(m, *_sparse(entries // span, entries % span, bins, len(m.terms)), b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
+    return _with_metadata(docs, model.metadata).mapInArrow(run, f"doc_id {kind}, score double")

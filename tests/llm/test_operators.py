@@ -129,31 +129,76 @@ def test_held_out_accuracy(spark, name, operator, threshold, label):
 
 def test_sum_of_squares_is_the_pairwise_sum():
     rng = np.random.default_rng(0)
-    x = (rng.random((5, 12)) < 0.5).astype(np.float32)
+    x = rng.random((5, 12)) < 0.5
     m = factor_machine.Model(np.arange(12), np.zeros((0, 9)), 0.1, rng.normal(size=12), rng.normal(size=(12, 3)))
     pairs = [sum(row[a] * row[b] * float(m.factors[a] @ m.factors[b]) for a in range(12) for b in range(a)) for row in x]
-    assert np.allclose(factor_machine.predict(m, x), 1 / (1 + np.exp(-(m.bias + x @ m.linear + pairs))), atol=1e-5)
+    assert np.allclose(factor_machine.predict(m, *np.nonzero(x), 5), 1 / (1 + np.exp(-(m.bias + x @ m.linear + pairs))), atol=1e-12)
 
 
-def test_an_insult_is_only_toxic_with_a_group(spark):
-    """Only the pair tells the label, so a sum of single weights can't."""
+@pytest.mark.parametrize("others", [0, 40])
+def test_an_insult_is_only_toxic_with_a_group(spark, others):
+    """Only the pair tells the label, so a sum of single weights can't; rows of the second half are not learned from."""
     rng = np.random.default_rng(3)
     rows = []
-    for i in range(900):
+    for i in range(4000):
         a, b = rng.random(2) < 0.5
-        rows.append((i, " ".join(["filler", *(["pests"] if a else ["birds"]), *(["neighbours"] if b else ["gardens"])]), int(a == b)))
+        words = ["filler", "pests" if a else "birds", "neighbours" if b else "gardens", *[f"{k:04d}w" for k in rng.choice(2000, others, replace=False)]]
+        rows.append((i, " ".join(words), int(a == b)))
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = factor_machine.train(df, df, "toxic", statistics=False, epochs=40, least_rows=1)
-    if not len(model.terms):  # single terms tell nothing here, so they are given
-        sample = factor_machine.term_buckets(pa.array([r[1] for r in rows]))[1]
-        terms = np.unique(sample)
-        x = np.zeros((len(rows), len(terms)), np.uint8)
-        for k, r in enumerate(rows):
-            x[k, np.searchsorted(terms, factor_machine.term_buckets(pa.array([r[1]]))[1])] = 1
-        y = np.array([r[2] for r in rows], np.float32)
-        model = factor_machine.Model(terms, np.zeros((0, 9)), *factor_machine._fit(x, y, 8, 60, 0.3, 0.0, 1))
-    got = factor_machine.score(df, model).join(df, "doc_id").collect()
-    assert np.mean([(r.score > 0.5) == r.toxic for r in got]) > 0.95
+
+    def right(**settings):
+        model = toxicity.train(df, df.where("doc_id < 2000"), **settings)
+        got = toxicity.score(df, model).join(df, "doc_id").where("doc_id >= 2000").collect()
+        return np.mean([(r.score > 0.5) == r.toxic for r in got])
+
+    assert right() > 0.95
+    assert right(epochs=5) < 0.6  # weights alone
+
+
+def _plain_score(model, text, n_chars):
+    """Score of one text, pair by pair, from the words as Python splits them."""
+    inputs = set()
+    place = {int(t): k for k, t in enumerate(model.terms)}
+    for word in set(WORDS.findall((text or "").lower())):
+        word = word.encode().strip(factor_machine.EDGE_MARKS)
+        buckets = [zlib.crc32(word) % factor_machine.BUCKETS]
+        for k in range(3, min(8, len(word)) + 1):
+            mixed = (int.from_bytes(word[:k], "little") * 0x9E3779B97F4A7C15 % 2**64) ^ k
+            buckets.append(mixed >> (64 - factor_machine.BUCKET_BITS))
+        inputs |= {place[x] for x in buckets if x in place}
+    values = factor_machine.structure_of(pa.array([text], pa.string()))[0].tolist() if len(model.edges) else []
+    values += [n_chars] * len(model.metadata)
+    for k, (value, cuts) in enumerate(zip(values, model.edges, strict=True)):
+        at = factor_machine.BINS if value is None else sum(value >= c for c in cuts)
+        inputs.add(len(model.terms) + k * (factor_machine.BINS + 1) + at)
+    chosen = sorted(inputs)
+    margin = model.bias + sum(model.linear[a] for a in chosen)
+    margin += sum(float(model.factors[a] @ model.factors[b]) for a in chosen for b in chosen if b < a)
+    return 1 / (1 + np.exp(-margin))
+
+
+def test_scores_are_those_of_a_plain_machine(spark, docs):
+    texts = [(r.doc_id, r.text, r.n_chars) for r in docs.select("doc_id", "text", F.col("n_chars").cast("long")).limit(60).collect()]
+    texts += [(-1, None, None), (-2, "", 0), (-3, "idiot " * 3000, 18000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, n_chars long")
+    rng = np.random.default_rng(5)
+    labels = docs.sparkSession.read.parquet(f"{ROOT}/sf0.01/labels.parquet")
+    whole = docs.sparkSession.read.parquet(f"{ROOT}/sf0.01/documents.parquet")
+    for operator in (quality, toxicity):
+        model = operator.train(whole, labels)
+        model.factors = model.factors + rng.normal(0, 0.05, model.factors.shape)  # so that pairs count in any case
+        got = {r.doc_id: r.score for r in operator.score(df.repartition(3), model).collect()}
+        assert got == {r.doc_id: r.score for r in operator.score(df.coalesce(1), model).collect()}  # a row's score is its own
+        for i, text, n_chars in texts:
+            assert got[i] == pytest.approx(_plain_score(model, text, n_chars), abs=1e-9)
+
+
+def test_metadata_may_lack_or_be_no_number(spark, docs):
+    labels = spark.read.parquet(f"{ROOT}/sf0.001/labels.parquet")
+    model = quality.train(docs, labels)
+    for other in (docs.drop("n_chars"), docs.withColumn("n_chars", F.lit("many")), docs.withColumn("n_chars", F.lit(None).cast("long"))):
+        assert quality.score(other, model).count() == docs.count()
+        assert quality.score(other, quality.train(other, labels)).count() == docs.count()
 
 
 def test_classifiers_take_odd_rows(spark, odd):
