@@ -59,13 +59,15 @@ def regularise(
     sensors: Sequence[str] = SENSORS,
     fill: Sequence[str] = ("tomst_id", "error_tomst"),
     chunk: Column | None = None,
+    grid: DataFrame | None = None,
 ) -> DataFrame:
     """Put sites with mixed or 10-minute steps on a 15-minute grid from their first reading.
 
     A grid stamp between two readings is interpolated when it is the only one there and both
     readings are present; a null reading likewise when no grid stamp separates it from its
     neighbours. Off-grid readings are dropped afterwards and ``fill`` is taken from the last row
-    on the grid. Other sites pass through unchanged. Readings with their neighbours are staged once,
+    on the grid. Other sites pass through unchanged. ``grid`` (site, ``_t0``, ``_mixed``) states first reading and mixed steps
+    where ``df`` holds parts of series. Readings with their neighbours are staged once,
     as three branches need them.
     """
     columns = df.columns
@@ -84,7 +86,7 @@ def regularise(
     )
     near = stage(halo.own(near))
     step = minutes_between(F.col(time), F.col("_prev"))
-    plan = near.groupBy(site).agg(
+    plan = grid if grid is not None else near.groupBy(site).agg(
         F.min(time).alias("_t0"),
         ((F.min(step) != F.max(step)) | (F.max((step == 10).cast("int")) == 1)).alias("_mixed"),
     )

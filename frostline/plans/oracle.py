@@ -646,6 +646,7 @@ CTES["c_codes2"] = "SELECT site, tomst_id, datetime, CASE WHEN error_tomst <> 2
 CTES["c_plan2"] = plan("c_codes2")
 CTES["c_regular2"] = regular("c_codes2", ("T2",)).replace("plan", "c_plan2")
 add("clean_series", HF, filled("c_masked", "site", ["tomst_id", "error_tomst"], VALUES))
+add("clean_append", HF, filled("c_masked", "site", ["tomst_id", "error_tomst"], VALUES))
 CHAIN = ["rh", "rh_bias", "c_visits", "c_range", "c_codes", "c_plan", "c_regular", "c_flags", *[f"c_peak_{s}" for s in SENSORS], "c_masked"]
 AREA_SITES = {"MAT": ("", "0 AND 3", "4080"), "VIN": ("2023 VIN", "4 AND 6", "4096"), "RAS": ("2023", "7 AND 9", "4096")}
 for code, (version, numbers, ceiling) in AREA_SITES.items():

@@ -114,6 +114,7 @@ def clean_series(
     rules=PEAK_RULES,
     fill: bool = True,
     chunk: Column | None = None,
+    grid: DataFrame | None = None,
 ) -> DataFrame:
     """Raw to cleaned: bias, visits, range, codes, 15-minute grid, peaks, gap fill.
 
@@ -124,7 +125,7 @@ def clean_series(
     codes = {s: codes[s] for s in sensors}
     df = apply_bias(raw, bias)
     df = stage(mask_codes(mask_visits_and_range(df, visits, limits, sensors, chunk=chunk), codes))
-    df = stage(regularise(df, sensors=sensors, chunk=chunk))
+    df = stage(regularise(df, sensors=sensors, chunk=chunk, grid=grid))
     df = mask_peaks(flag_peaks(df, rules, sensors, chunk=chunk), sensors)
     return fill_gaps_site(stage(df), chunk=chunk) if fill else df
 

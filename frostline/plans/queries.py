@@ -37,7 +37,7 @@ from frostline.operators import (
     snow,
     thermal,
 )
-from frostline.plans import areas, pipelines, standins as st
+from frostline.plans import append, areas, pipelines, standins as st
 from frostline.session import new_stage_path, stage
 from frostline.sources import logger_files, published, tables
 
@@ -853,6 +853,15 @@ def clean_series(spark, d):
     return pipelines.clean_series(st.readings_hf(spark, d), st.bias(spark, d), st.visits(spark, d))
 
 
+@query
+def clean_append(spark, d):
+    """The last two days of each month come later and are appended to what was cleaned before."""
+    raw, late = st.readings_hf(spark, d), F.col("datetime") >= F.date_sub(F.last_day("datetime"), 1)
+    old, bias, visits = stage(raw.filter(~late)), st.bias(spark, d), st.visits(spark, d)
+    cleaned, summary = stage(pipelines.clean_series(old, bias, visits)), stage(append.summary_of(old, 3))
+    return append.append_cleaned(old, raw.filter(late), cleaned, summary, bias, visits, days=3)[0]
+
+
 POLICIES = {"MAT": areas.CURRENT, "VIN": areas.OF_2023_VIN, "RAS": areas.OF_2023}
 
 
