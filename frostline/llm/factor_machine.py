@@ -185,8 +185,9 @@ def _fit(
 
     Weights follow the regularised leader (penalty ``l1`` an epoch times the root of the number of rows, as noise grows with
     it; none for the last ``free`` inputs), so those of useless inputs are exactly zero. After ``warm`` of the ``epochs``
-    factors join by Adagrad with a penalty ``group`` on their length; an input whose factors reach zero has no pairs from then
-    on. Inputs that are left go on for ``settle`` epochs without a penalty on weights, which would hold their scores near the mean.
+    factors join by Adagrad with a penalty ``group`` on their length, none for an input that has a weight; an input whose factors
+    reach zero has no pairs from then on. For all inputs the penalty would end the factors of long texts, which begin short,
+    at their first step, whatever they tell. Inputs that are left go on for ``settle`` epochs without a penalty on weights, which would hold their scores near the mean.
     """
     rng = np.random.default_rng(seed)
     n, sizes = len(y), np.diff(starts)
@@ -234,7 +235,8 @@ def _fit(
                 step = 0.1 / np.sqrt(spread[pused])[:, None]
                 vu = vu - step * steep
                 length = np.sqrt((vu**2).sum(axis=1, keepdims=True))
-                vu *= np.maximum(0, 1 - step * group / np.maximum(length, 1e-12))
+                held_by = np.where(w[pused] != 0, 0.0, group)[:, None]
+                vu *= np.maximum(0, 1 - step * held_by / np.maximum(length, 1e-12))
                 v[pused], alive[pused] = vu, vu.any(axis=1)
             total = float(err.sum())
             seen += total * total

@@ -155,6 +155,20 @@ def test_an_insult_is_only_toxic_with_a_group(spark, others):
     assert right(epochs=5) < 0.6  # weights alone
 
 
+def test_words_that_tell_alone_keep_their_factors(spark):
+    """In long texts factors begin short; the penalty of useless inputs would end those of telling words at their first step."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(1500):
+        bad = rng.random() < 0.3
+        rows.append((i, " ".join(["pests" if bad else "birds", *[f"{k:04d}w" for k in rng.choice(2000, 150, replace=False)]]), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(df, df.where("doc_id < 1000"))
+    assert model.factors.any()
+    got = toxicity.score(df, model).join(df, "doc_id").where("doc_id >= 1000").collect()
+    assert all((r.score > 0.5) == r.toxic for r in got)
+
+
 def _plain_score(model, text, n_chars):
     """Score of one text, pair by pair, from the words as Python splits them."""
     inputs = set()
