@@ -162,6 +162,20 @@ def _sparse(rows: np.ndarray, inputs: np.ndarray, bins: np.ndarray, terms: int)
     return rows[order], inputs[order]
 
 
+def _training(lengths: np.ndarray, terms: np.ndarray, bins: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of the rows and their inputs in ascending order, from each row's terms in that order; its bins follow them.
+
+    The entries are put in their places as 32-bit numbers, without sorting all of them at once.
+    """
+    width = bins.shape[1]
+    starts = np.concatenate([[0], np.cumsum(lengths + width)])
+    inputs, is_term = np.empty(starts[-1], dtype=np.int32), np.ones(starts[-1], bool)
+    last = (starts[1:, None] - width + np.arange(width)).ravel()
+    is_term[last] = False
+    inputs[last], inputs[is_term] = (base + bins).ravel(), terms
+    return starts, inputs
+
+
 def _margins(rows: np.ndarray, inputs: np.ndarray, n: int, bias: float, linear: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of each row and its sums of factors; a row's sums are taken in the order of its own entries alone."""
     sums_of = np.stack([np.bincount(rows, column[inputs], n) for column in factors.T], axis=1) if len(inputs) else np.zeros((n, factors.shape[1]))
@@ -281,12 +295,11 @@ def train(
         terms = np.flatnonzero(np.bincount(buckets, minlength=BUCKETS))
         known = [column[~np.isnan(column)] for column in stats.T]
         edges = np.array([np.quantile(c if len(c) else [0.0], np.arange(1, BINS) / BINS) for c in known]).reshape(width, BINS - 1)
-        place = np.zeros(BUCKETS, dtype=np.int64)
+        place = np.zeros(BUCKETS, dtype=np.int32)
         place[terms] = np.arange(len(terms))
-        rows = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False))
-        rows, inputs = _sparse(rows, place[buckets], binned(stats, edges), len(terms))
+        lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         free = width * (BINS + 1)
-        starts = np.searchsorted(rows, np.arange(n + 1))
+        starts, inputs = _training(lengths, place[buckets], binned(stats, edges), len(terms))
         bias, w, v = _fit(starts, inputs, table.column("y").to_numpy().astype(np.float64), len(terms) + free, free, factors, warm, epochs, settle, rate, l1, group, seed)
         keep = (w != 0) | v.any(axis=1)
         keep[len(terms) :] = True
@@ -294,7 +307,8 @@ def train(
         return pa.table({"part": pa.array([x.tobytes() for x in flat], pa.binary()), "k": pa.array(range(5), pa.int32())})
 
     # The kept weights: at most BUCKETS + bins rows of factors + 1 doubles, whatever the data.
-    found = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(lambda t: fit(t.drop_columns(["one"])), "part binary, k int").orderBy("k").collect()
+    found = sample.withColumn("one", F.lit(1)).groupBy("one").applyInArrow(lambda t: fit(t.drop_columns(["one"])), "part binary, k int").collect()
+    found.sort(key=lambda r: r[1])  # five rows; sorting them in Spark would sample them first, and so fit twice
     unstage(sample)
     if not found:
         return Model(np.zeros(0, np.int64), np.zeros((width, BINS - 1)), 0.0, np.zeros(width * (BINS + 1)), np.zeros((width * (BINS + 1), factors)), metadata)

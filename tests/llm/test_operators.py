@@ -155,6 +155,16 @@ def test_an_insult_is_only_toxic_with_a_group(spark, others):
     assert right(epochs=5) < 0.6  # weights alone
 
 
+def test_training_entries_are_those_sorted():
+    rng = np.random.default_rng(6)
+    lists = [np.sort(rng.choice(50, k, replace=False)) for k in (3, 0, 7, 1)]
+    lengths, bins = np.array([len(x) for x in lists]), rng.integers(0, 22, (4, 2))
+    bins.sort(axis=1)
+    rows, inputs = factor_machine._sparse(np.repeat(np.arange(4), lengths), np.concatenate(lists), bins, 50)
+    starts, got = factor_machine._training(lengths, np.concatenate(lists), bins, 50)
+    assert (got == inputs).all() and (starts == np.searchsorted(rows, np.arange(5))).all()
+
+
 def test_words_that_tell_alone_keep_their_factors(spark):
     """In long texts factors begin short; the penalty of useless inputs would end those of telling words at their first step."""
     rng = np.random.default_rng(4)
