@@ -16,7 +16,7 @@ from frostline.functions.scalars import (
     parse_logger_time,
 )
 from frostline.operators.dedup import keep_last
-from frostline.session import LOCAL_ZONE, stage
+from frostline.session import LOCAL_ZONE, settings, stage
 
 MIN_ROWS = 100
 FIELDS = 7
@@ -29,18 +29,27 @@ def logical_path(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, r"/part-[^/]*$", ""), "/[^/=]+=", "/")
 
 
-def read_logger_lines(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "data_*") -> DataFrame:
-    """Lines of all matching files below ``paths``, with the file they come from and their place ``at`` in it."""
+def listing(spark: SparkSession):
+    """Options while Spark lists a tree: a few tasks per core share its folders, where Spark would run a task per folder."""
+    return settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": 4 * spark.sparkContext.defaultParallelism})
+
+
+def read_logger_lines(
+    spark: SparkSession, paths: Sequence[str] | str, pattern: str = "data_*", within: str | None = None
+) -> DataFrame:
+    """Lines of all matching files below ``paths``, with the file they come from and their place ``at`` in it.
+
+    Files whose whole path doesn't hold the expression ``within`` are not opened.
+    """
     place = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    return (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .text(paths)
-        .select(
-            logical_path(F.col("_metadata.file_path")).alias("path"),
-            "value",
-            F.struct(*[c.alias(n) for c, n in zip(place, ("part", "block", "line"), strict=True)]).alias("at"),
-        )
+    with listing(spark):
+        found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(paths)
+    if within is not None:
+        found = found.filter(F.col("_metadata.file_path").rlike(within))
+    return found.select(
+        logical_path(F.col("_metadata.file_path")).alias("path"),
+        "value",
+        F.struct(*[c.alias(n) for c, n in zip(place, ("part", "block", "line"), strict=True)]).alias("at"),
     )
 
 
@@ -107,8 +116,10 @@ def readings_and_rejects(lines: DataFrame, min_rows: int = MIN_ROWS) -> tuple[Da
     """Readings of logger files, and what was left out: ``path, row, reason, n_rows``.
 
     A file is rejected whole with one row (``row`` null), a line by itself. Of repeated times in a file the row of the
-    greatest index stays. Layouts are staged, so the lines are read twice: once for the layouts, once to parse.
+    greatest index stays. Lines and layouts are staged, so the files are opened once; layouts, readings and rejects read the
+    staged lines.
     """
+    lines = stage(lines)
     layouts = stage(file_layouts(lines, min_rows))
     parsed = parse_by_layout(lines, layouts)
     good = parsed.filter("reason IS NULL")
@@ -130,7 +141,8 @@ def list_files(spark: SparkSession, paths: Sequence[str] | str, pattern: str = "
 
     Spark lists the folders as tasks; parts of one file that Spark wrote count as one.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(paths)
+    with listing(spark):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(paths)
     parts = found.select(logical_path(F.col("path")).alias("path"), "length", "modificationTime")
     return parts.groupBy("path").agg(F.sum("length").alias("bytes"), F.max("modificationTime").alias("modified"))
 
