@@ -62,17 +62,16 @@ def file_layouts(lines: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     for one of ``min_rows`` rows or fewer, else null.
     """
     first = F.col("at.block") == 0
+    # Each step is a projection of its own: named in the aggregate, a line would be split and its time read once for each mention.
+    split = lines.withColumns({f"_v{k}": F.split("value", sep) for k, sep in enumerate(SEPARATORS)})
+    full = [F.when(first & (F.size(f"_v{k}") >= FIELDS), F.trim(F.get(f"_v{k}", F.lit(1)))) for k in range(len(SEPARATORS))]
+    timed = split.withColumns({f"_t{k}": full[k] for k in range(len(SEPARATORS))})
+    timed = timed.withColumns({f"_t{k}": normalise_time_text(F.col(f"_t{k}")) for k in range(len(SEPARATORS))})
     votes = []
-    for k, sep in enumerate(SEPARATORS):
-        fields = F.split("value", sep)
-        time = normalise_time_text(F.trim(F.get(fields, F.lit(1))))
-        full = first & (F.size(fields) >= FIELDS)
-        votes += [
-            F.count_if(full).alias(f"n{k}"),
-            F.count_if(full & time.rlike(YEAR_FIRST)).alias(f"y{k}"),
-            F.count_if(full & time.rlike(DAY_FIRST)).alias(f"d{k}"),
-        ]
-    counted = lines.groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"), F.min_by("value", "at").alias("_first"), *votes)
+    for k in range(len(SEPARATORS)):
+        time = F.col(f"_t{k}")
+        votes += [F.count(time).alias(f"n{k}"), F.count_if(time.rlike(YEAR_FIRST)).alias(f"y{k}"), F.count_if(time.rlike(DAY_FIRST)).alias(f"d{k}")]
+    counted = timed.groupBy("path").agg(F.count(F.lit(1)).alias("n_rows"), F.min_by("value", "at").alias("_first"), *votes)
     most = F.greatest(*[F.col(f"n{k}") for k in range(len(SEPARATORS))])
     sep, year = F.lit(SEPARATORS[0]), F.col("y0") >= F.col("d0")
     for k in reversed(range(len(SEPARATORS))):
@@ -92,7 +91,9 @@ def parse_by_layout(lines: DataFrame, layouts: DataFrame) -> DataFrame:
     good = layouts.filter("reject IS NULL").select("path", "sep", "year_first")
     v = lines.select("path", "value").join(good, "path").withColumn("_v", F.split("value", F.col("sep")))
     field = [F.get("_v", F.lit(i)) for i in range(FIELDS)]
-    text = normalise_time_text(F.trim(field[1]))
+    # Each step is a projection of its own, so that the field is cut, put in order and read once a line.
+    v = v.withColumn("_time", F.trim(field[1])).withColumn("V2", normalise_time_text(F.col("_time")))
+    text = F.col("V2")
     iso = F.when(F.col("year_first") & text.rlike(YEAR_FIRST), F.regexp_replace(text, YEAR_FIRST, "$1-$2-$3 $4")).when(
         ~F.col("year_first") & text.rlike(DAY_FIRST), F.regexp_replace(text, DAY_FIRST, "$3-$2-$1 $4")
     )
@@ -100,7 +101,7 @@ def parse_by_layout(lines: DataFrame, layouts: DataFrame) -> DataFrame:
         "path",
         "value",
         field[0].try_cast("long").alias("row"),
-        text.alias("V2"),
+        "V2",
         logger_id_from_path(F.col("path")).alias("tomst_id"),
         iso.try_cast("timestamp_ntz").alias("datetime"),
         field[2].try_cast("int").alias("zone"),
@@ -116,12 +117,13 @@ def readings_and_rejects(lines: DataFrame, min_rows: int = MIN_ROWS) -> tuple[Da
     """Readings of logger files, and what was left out: ``path, row, reason, n_rows``.
 
     A file is rejected whole with one row (``row`` null), a line by itself. Of repeated times in a file the row of the
-    greatest index stays. Lines and layouts are staged, so the files are opened once; layouts, readings and rejects read the
-    staged lines.
+    greatest index stays. Lines, layouts and parsed lines are staged, so the files are opened once and a line is parsed once;
+    readings and rejects read the parsed lines. A filter on the parsed lines would else be pushed down to the raw ones, and
+    there name the split of a line a dozen times.
     """
     lines = stage(lines)
     layouts = stage(file_layouts(lines, min_rows))
-    parsed = parse_by_layout(lines, layouts)
+    parsed = stage(parse_by_layout(lines, layouts).drop("value"))
     good = parsed.filter("reason IS NULL")
     readings = keep_last(good, ["path", "V2"], [F.col("row")]).select(
         "path", "row", "tomst_id", "datetime", "zone", "T1", "T2", "T3", "moist"
